@@ -1 +1,10 @@
+"""All registered queries."""
 
+from . import (  # noqa: F401
+    q_functions,
+    q_sources,
+)
+from .common import ORACLE, QUERIES
+from .flagship import flagship
+
+__all__ = ["ORACLE", "QUERIES", "flagship"]

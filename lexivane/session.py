@@ -23,6 +23,7 @@ def get_spark(app: str = "lexivane", cpus: int | None = None, **conf: str) -> Sp
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

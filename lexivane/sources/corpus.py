@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import durable
 
@@ -11,25 +11,15 @@ VECTOR_PREFIX = "embeddings_"
 REQUIRED = ("url", "content")
 
 # Fixed value: the column names of the published corpus file.
-CORPUS_SCHEMA = T.StructType(
-    [
-        T.StructField("url", T.StringType()),
-        T.StructField("xmlid", T.StringType()),
-        T.StructField("lang", T.StringType()),
-        T.StructField("wid", T.StringType()),
-        T.StructField("author-id", T.StringType()),
-        T.StructField("author-name", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("year", T.IntegerType()),
-        T.StructField("passage", T.StringType()),
-        T.StructField("citation-recommendation", T.StringType()),
-        T.StructField("content", T.StringType()),
-    ]
+CORPUS_SCHEMA = (
+    "url string, xmlid string, lang string, wid string, `author-id` string, "
+    "`author-name` string, title string, year int, passage string, "
+    "`citation-recommendation` string, content string"
 )
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = CORPUS_SCHEMA, header: bool = True,
+    spark: SparkSession, path: str, schema: str = CORPUS_SCHEMA, header: bool = True,
     index_column: bool = False,
 ) -> DataFrame:
     """CSV with quoted fields that may hold separators, quotes and line breaks.
@@ -38,7 +28,7 @@ def read_csv(
     Quoted line breaks make one file one task, so large corpora should come in many files.
     """
     if index_column:
-        schema = T.StructType([T.StructField("__index", T.LongType()), *schema.fields])
+        schema = f"__index bigint, {schema}"
     df = (
         spark.read.schema(schema)
         .option("header", header)
@@ -71,8 +61,7 @@ def read_docs_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_docs(
-    spark: SparkSession, directory: str, stem: str = "all_docs",
-    schema: T.StructType = CORPUS_SCHEMA,
+    spark: SparkSession, directory: str, stem: str = "all_docs", schema: str = CORPUS_SCHEMA
 ) -> DataFrame:
     """``{stem}.parquet`` if present, else ``{stem}.csv``, else an error."""
     try:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .corpus import VECTOR_PREFIX, without_vectors
 
@@ -108,18 +108,9 @@ def write_topic_csv(topics: DataFrame, path: str) -> None:
     write_csv(topics.select(*flat), path)
 
 
-def delivery_lines(payloads: DataFrame, item: Column | None = None) -> DataFrame:
-    """One request body per payload, with its target project."""
-    item = item if item is not None else F.struct("*")
-    body = F.struct(F.array(item).alias("embeddings"))
-    return payloads.select(
-        F.col("project_handle").alias("project"),
-        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
-    )
-
-
-def write_delivery(payloads: DataFrame, path: str) -> None:
-    delivery_lines(payloads).write.mode("overwrite").partitionBy("project").text(path)
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Request bodies (project, value), one per line, in a folder per project."""
+    lines.write.mode("overwrite").partitionBy("project").text(path)
 
 
 def json_sample(df: DataFrame, n: int = 3, *order: str) -> DataFrame:

@@ -10,7 +10,7 @@ def parse_seed_lines(lines: DataFrame, column: str = "value", key: str | None =
     lemma = F.col(key) if key else F.xxhash64(column)
     return lines.select(
         lemma.alias("lemma_id"),
-        F.posexplode(F.split(F.rtrim(column), ",")).alias("pos", "word"),
+        F.posexplode(F.split(F.regexp_replace(column, r"\s+$", ""), ",")).alias("pos", "word"),
     )
 
 
