@@ -1,6 +1,8 @@
 """All registered queries."""
 
 from . import (  # noqa: F401
+    q_coverage,
+    q_delivery,
     q_functions,
     q_sources,
 )
