@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.text import fill_prompt
+from ..functions.text import SUMMARY_PROMPT, fill_prompt
 from ..functions.vector import mean_vector, norm, dot
 from .terms import CLASS_WORDS, group_counts, term_idf, top_terms, weigh, words_of
 
@@ -78,7 +78,7 @@ def label_topics(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 def prompts(
     ranked: DataFrame, representatives: DataFrame, docs: DataFrame, key: str = "doc_id",
-    text: str = "text",
+    text: str = "text", template: str = SUMMARY_PROMPT,
 ) -> DataFrame:
     """Prompt text per topic from its keywords and the full text of its representatives."""
     lines = (
@@ -90,7 +90,7 @@ def prompts(
     )
     words = words_of(ranked)
     return words.join(lines, "topic").select(
-        "topic", fill_prompt(F.array_join("words", ", "), F.col("__docs")).alias("prompt")
+        "topic", fill_prompt(F.array_join("words", ", "), F.col("__docs"), template).alias("prompt")
     )
 
 
