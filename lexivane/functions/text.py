@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml.feature import NGram, StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .vector import bind
+
 # Fixed value: word characters are Unicode letters, digits and underscore, two or more.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -25,9 +27,13 @@ def batched(values: Column | str, n: int) -> Column:
     if n < 1:
         raise ValueError("n must be at least one")
     values = F.col(values) if isinstance(values, str) else values
-    starts = F.sequence(F.lit(1), F.size(values), F.lit(n))
-    groups = F.transform(starts, lambda i: F.slice(values, i, F.lit(n)))
-    return F.when(F.size(values) > 0, groups).otherwise(F.slice(F.array(values), 1, 0))
+
+    def groups(v: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(v), F.lit(n))
+        cut = F.transform(starts, lambda i: F.slice(v, i, F.lit(n)))
+        return F.when(F.size(v) > 0, cut).otherwise(F.slice(F.array(v), 1, 0))
+
+    return bind(values, groups)
 
 
 def token_chunks(text: Column | str, context_limit: int, special_tokens: int = 0) -> Column:

@@ -24,10 +24,17 @@ def norm(v: Column | str) -> Column:
     return F.sqrt(F.aggregate(as_double(v), F.lit(0.0), lambda acc, x: acc + x * x))
 
 
+def bind(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once, also where fn uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def l2_normalise(v: Column | str) -> Column:
     """Unit vector; null where the length is zero."""
-    length = norm(v)
-    return F.when(length > 0, F.transform(as_double(v), lambda x: x / length))
+    return bind(
+        F.struct(as_double(v).alias("v"), norm(v).alias("n")),
+        lambda s: F.when(s["n"] > 0, F.transform(s["v"], lambda x: x / s["n"])),
+    )
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:

@@ -32,21 +32,20 @@ def term_arrays(
 def group_counts(arrays: DataFrame, *groups: str) -> DataFrame:
     """tf and number of docs per (groups, term), counted right behind the explode.
 
-    The array is sorted so that the first copy of a term in a document can be told from
-    the others: one pass and one shuffle give both counts.
+    A document contributes its terms once with their repetitions and once without, so one
+    pass and one shuffle of partial sums give both counts.
     """
-    ordered = F.array_sort("terms")
-    flagged = F.transform(
-        ordered,
-        lambda t, i: F.struct(
-            t.alias("term"),
-            F.when((i == 0) | (F.get(ordered, i - 1) != t), 1).otherwise(0).alias("first"),
-        ),
+    every = F.transform(
+        "terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("docs"))
+    )
+    once = F.transform(
+        F.array_distinct("terms"),
+        lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("docs")),
     )
     return (
-        arrays.select(*groups, F.inline(flagged))
+        arrays.select(*groups, F.inline(F.concat(every, once)))
         .groupBy(*groups, "term")
-        .agg(F.count("*").alias("tf"), F.sum("first").alias("docs"))
+        .agg(F.sum("tf").alias("tf"), F.sum("docs").alias("docs"))
     )
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import tokens
-from ..functions.vector import cosine
+from ..functions.vector import bind, cosine
 from ..session import durable
 from ..sources.sinks import load_tables, save_tables
 from .density import NOISE, centre_clusters, density_clusters
@@ -124,15 +124,16 @@ def topic_probabilities(
     scored = similarities(clean(docs, "doc_id", "embedding", m), base, broadcast_bytes)
     rows = scored.groupBy("id").agg(F.flatten(F.collect_list("scores")).alias("scores"))
     total = F.aggregate("scores", F.lit(0.0), lambda acc, s: acc + F.exp(s["similarity"]))
-    return rows.withColumn("__total", total).select(
-        F.col("id").alias("doc_id"),
-        F.transform(
-            "scores",
+    shared = bind(
+        F.struct(F.col("scores").alias("all"), total.alias("total")),
+        lambda x: F.transform(
+            x["all"],
             lambda s: F.struct(
-                s["id"].alias("topic"), (F.exp(s["similarity"]) / F.col("__total")).alias("probability")
+                s["id"].alias("topic"), (F.exp(s["similarity"]) / x["total"]).alias("probability")
             ),
-        ).alias("probabilities"),
+        ),
     )
+    return rows.select(F.col("id").alias("doc_id"), shared.alias("probabilities"))
 
 
 def likely_topics(probabilities: DataFrame, minimum: float = MIN_PROBABILITY) -> DataFrame:

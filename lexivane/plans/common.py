@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import tokens
+from ..session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work on their whole texts, over all cores."""
+    return spread(docs(spark, sf_dir), "doc_id")
+
+
 # --- the corpus: documents under url and content, with metadata ----------------------
 
 CORPUS_SQL = """
@@ -125,7 +131,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("label").cast("bigint").alias("topic"), "embedding"
     )
-    return docs(spark, sf_dir).select("doc_id", "text", "lang").join(vectors, "doc_id")
+    return texts(spark, sf_dir).select("doc_id", "text", "lang").join(vectors, "doc_id")
 
 
 VECTORS_SQL = """
@@ -195,7 +201,7 @@ GROUP BY w ORDER BY count(*) DESC, w LIMIT 25"""
 
 def stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25 words found in most documents, as a stop list."""
-    words = docs(spark, sf_dir).select(F.explode(F.array_distinct(tokens("text"))).alias("word"))
+    words = texts(spark, sf_dir).select(F.explode(F.array_distinct(tokens("text"))).alias("word"))
     return words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(25).select("word")
 
 
@@ -208,7 +214,7 @@ def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with source as topic, lang as class and a period."""
-    return docs(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id",
         "text",
         F.substring("source", 4, 10).cast("bigint").alias("topic"),

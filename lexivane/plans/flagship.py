@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import token_count
-from .common import TOKENS_SQL, docs, query, table
+from .common import TOKENS_SQL, query, table, texts
 
 MIN_TOKENS = 10
 
@@ -20,7 +20,7 @@ WHERE n_tokens >= {MIN_TOKENS} GROUP BY lang"""
 @query("coverage_by_language", SQL)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     long_enough = (
-        docs(spark, sf_dir)
+        texts(spark, sf_dir)
         .select(
             "doc_id", "lang", F.length("text").alias("n"), token_count("text").alias("tokens")
         )

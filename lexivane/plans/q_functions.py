@@ -10,7 +10,7 @@ from ..operators import coverage, delivery
 from ..sources import corpus as corpora, vectors as stores
 from .common import (
     ALPHA, BETA, CORPUS_SQL, GAMMA, LOG_SQL, STORE_SQL, TOKENS_SQL, corpus, docs,
-    grams_sql, log, query, stop_words, store, table, vectors,
+    grams_sql, log, query, stop_words, store, table, texts, vectors,
 )
 
 MIN_TOKENS = 10
@@ -33,7 +33,7 @@ def p02(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT doc_id, len({TOKENS_SQL}) AS tokens FROM documents WHERE len({TOKENS_SQL}) >= {MIN_TOKENS}",
 )
 def p03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = docs(spark, sf_dir).select("doc_id", text.token_count("text").alias("tokens"))
+    counted = texts(spark, sf_dir).select("doc_id", text.token_count("text").alias("tokens"))
     return counted.filter(F.col("tokens") >= MIN_TOKENS)
 
 
@@ -224,7 +224,7 @@ def p16(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("f01_token_count", f"SELECT doc_id, CAST(len({TOKENS_SQL}) AS BIGINT) AS tokens FROM documents")
 def f01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", text.token_count("text").alias("tokens"))
+    return texts(spark, sf_dir).select("doc_id", text.token_count("text").alias("tokens"))
 
 
 @query(
@@ -234,7 +234,7 @@ def f01(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, len({TOKENS_SQL}) AS n FROM documents)""",
 )
 def f02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = docs(spark, sf_dir).select("doc_id", text.tokens("text").alias("t")).select(
+    grouped = texts(spark, sf_dir).select("doc_id", text.tokens("text").alias("t")).select(
         "doc_id", text.batched("t", 100).alias("g")
     )
     last = F.coalesce(F.size(F.try_element_at("g", F.lit(-1))), F.lit(0))
@@ -254,7 +254,7 @@ def f02(spark: SparkSession, sf_dir: str) -> DataFrame:
                md5(chunk) AS digest FROM pieces""",
 )
 def f03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = text.explode_chunks(docs(spark, sf_dir), text.token_chunks("text", 512, 2))
+    chunks = text.explode_chunks(texts(spark, sf_dir), text.token_chunks("text", 512, 2))
     return chunks.select(
         "doc_id", F.col("chunk_no").cast("bigint").alias("chunk_no"), "weight",
         F.md5("chunk").alias("digest"),
@@ -272,7 +272,7 @@ def _char_chunks_sql(fits: str) -> str:
 
 
 def _char_chunks(spark: SparkSession, sf_dir: str, test: str) -> DataFrame:
-    chunks = text.explode_chunks(docs(spark, sf_dir), text.char_chunks("text", 512, test))
+    chunks = text.explode_chunks(texts(spark, sf_dir), text.char_chunks("text", 512, test))
     return chunks.select(
         "doc_id", F.col("chunk_no").cast("bigint").alias("chunk_no"), "weight",
         F.md5("chunk").alias("digest"),
@@ -460,7 +460,7 @@ def f14(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT lang, term, count(*) AS tf FROM grams GROUP BY ALL HAVING count(*) >= 10""",
 )
 def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = docs(spark, sf_dir).select("doc_id", "lang", text.tokens("text").alias("t"))
+    words = texts(spark, sf_dir).select("doc_id", "lang", text.tokens("text").alias("t"))
     words = text.drop_stop_words(words, "t", stop_words(spark, sf_dir), "doc_id")
     grams = text.add_ngrams(words, "t", "grams").select("lang", F.explode("grams").alias("term"))
     return grams.groupBy("lang", "term").agg(F.count("*").alias("tf")).filter("tf >= 10")
@@ -503,4 +503,4 @@ def u01(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count_words(texts: pd.Series) -> pd.Series:
         return texts.str.split().str.len()
 
-    return docs(spark, sf_dir).select("doc_id", count_words("text").alias("words"))
+    return texts(spark, sf_dir).select("doc_id", count_words("text").alias("words"))

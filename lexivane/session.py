@@ -59,3 +59,13 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a scan that comes in fewer partitions than there are cores.
+
+    Text work is CPU-bound, so a single small file should not keep one core busy and the
+    rest idle. A scan with enough splits is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

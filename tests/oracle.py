@@ -44,11 +44,14 @@ def rows_of(columns, rows):
 
 
 def compare(spark, con, sf_dir, query, sql) -> str | None:
+    start = time.time()
     df = query(spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
+    middle = time.time()
     res = con.execute(sql)
     names = [c[0] for c in res.description]
     want = res.fetchall()
+    print(f"  spark {middle - start:.1f}s sql {time.time() - middle:.1f}s", end=" ")
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     if len(got) != len(want):
