@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import SUMMARY_PROMPT, fill_prompt
 from ..functions.vector import mean_vector, norm, dot
-from .terms import CLASS_WORDS, group_counts, term_idf, top_terms, weigh, words_of
+from .terms import CLASS_WORDS, term_idf, top_terms, weigh, words_of
 
 
 def topic_frequency(assignment: DataFrame) -> DataFrame:
@@ -101,27 +101,31 @@ def merge_topics(assignment: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def grouped_weights(
-    arrays: DataFrame, vocab: DataFrame, seeds: DataFrame | None, group: str
+    counts: DataFrame, vocab: DataFrame, seeds: DataFrame | None, group: str
 ) -> DataFrame:
-    """Weights of (topic, group, term): shares inside the group, idf of the whole corpus."""
-    by_group = group_counts(arrays, "topic", group).join(vocab.select("term"), "term", "left_semi")
+    """Weights of (topic, group, term): shares inside the group, idf of the whole corpus.
+
+    ``counts`` is group_counts by topic and group; the topic totals are rolled up from it.
+    """
+    by_group = counts.join(vocab.select("term"), "term", "left_semi")
     corpus = by_group.groupBy("topic").agg(F.sum("tf").alias("total"))
     idf = term_idf(vocab, corpus, seeds)
     totals = by_group.groupBy("topic", group).agg(F.sum("tf").alias("total"))
     return weigh(by_group.join(totals, ["topic", group]), idf)
 
 
-def group_frequency(arrays: DataFrame, group: str) -> DataFrame:
-    return arrays.groupBy("topic", group).agg(F.count("*").alias("frequency"))
+def group_frequency(docs: DataFrame, group: str) -> DataFrame:
+    return docs.groupBy("topic", group).agg(F.count("*").alias("frequency"))
 
 
 def topics_per_class(
-    arrays: DataFrame, vocab: DataFrame, seeds: DataFrame | None, group: str, n: int = CLASS_WORDS
+    docs: DataFrame, counts: DataFrame, vocab: DataFrame, seeds: DataFrame | None, group: str,
+    n: int = CLASS_WORDS,
 ) -> DataFrame:
     """(topic, class, words, frequency), words scored with the corpus idf."""
-    best = top_terms(grouped_weights(arrays, vocab, seeds, group), n, "topic", group)
+    best = top_terms(grouped_weights(counts, vocab, seeds, group), n, "topic", group)
     words = words_of(best, "topic", group)
-    return group_frequency(arrays, group).join(words, ["topic", group], "left")
+    return group_frequency(docs, group).join(words, ["topic", group], "left")
 
 
 def normalised_frequency(per_class: DataFrame) -> DataFrame:
@@ -194,12 +198,13 @@ def tuned_weights(
 
 
 def topics_over_time(
-    arrays: DataFrame, vocab: DataFrame, seeds: DataFrame | None, global_weights: DataFrame,
-    period: str, n: int = CLASS_WORDS, evolution: bool = True, global_tuning: bool = True,
+    docs: DataFrame, counts: DataFrame, vocab: DataFrame, seeds: DataFrame | None,
+    global_weights: DataFrame, period: str, n: int = CLASS_WORDS, evolution: bool = True,
+    global_tuning: bool = True,
 ) -> DataFrame:
     """(topic, period, words, frequency) with both kinds of smoothing by default."""
-    weights = grouped_weights(arrays, vocab, seeds, period)
-    frequency = group_frequency(arrays, period)
+    weights = grouped_weights(counts, vocab, seeds, period)
+    frequency = group_frequency(docs, period)
     if evolution or global_tuning:
         weights = tuned_weights(
             weights, global_weights, frequency, period, n, evolution, global_tuning

@@ -6,6 +6,7 @@ from . import (  # noqa: F401
     q_functions,
     q_sources,
     q_topics,
+    q_vectors,
 )
 from .common import ORACLE, QUERIES
 from .flagship import flagship

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import terms, topics
 from ..operators.topicmodel import TopicModel
+from ..session import durable
 from .common import (
     LABELLED_SQL, STOP_SQL, TOKENS_SQL, VECTORS_SQL, classed, docs, grams_sql, labelled, query, seeds,
     stop_words, vectors, weights_sql,
@@ -16,15 +17,19 @@ def arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_arrays(classed(spark, sf_dir), stop_words(spark, sf_dir))
 
 
-def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Counts by topic, vocabulary and weights with boosted seeds."""
-    counts = terms.group_counts(arrays(spark, sf_dir), "topic")
-    vocab = terms.vocabulary(counts)
-    return counts, vocab, terms.class_weights(counts, vocab, seeds(spark, sf_dir))
+def counted(spark: SparkSession, sf_dir: str, *groups: str) -> tuple[DataFrame, DataFrame]:
+    """Term counts by topic (and group) and the vocabulary, written down for several uses."""
+    counts = durable(terms.group_counts(arrays(spark, sf_dir), "topic", *groups))
+    return counts, durable(terms.vocabulary(counts))
+
+
+def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts, vocab = counted(spark, sf_dir)
+    return terms.class_weights(counts, vocab, seeds(spark, sf_dir))
 
 
 def best(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    return terms.top_terms(parts(spark, sf_dir)[2], n)
+    return terms.top_terms(weights(spark, sf_dir), n)
 
 
 def best_sql(n: int | None) -> str:
@@ -70,8 +75,7 @@ def a15_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {weights_sql()} SELECT topic, term, tf, round(score, 6) AS score FROM weights",
 )
 def a16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = parts(spark, sf_dir)[2]
-    return weights.select("topic", "term", "tf", F.round("score", 6).alias("score"))
+    return weights(spark, sf_dir).select("topic", "term", "tf", F.round("score", 6).alias("score"))
 
 
 @query("w01_top_words", best_sql(terms.TOP_WORDS))
@@ -86,7 +90,7 @@ def w02(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w12_term_rank", best_sql(None))
 def w12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(terms.top_terms(parts(spark, sf_dir)[2], None))
+    return rounded(terms.top_terms(weights(spark, sf_dir), None))
 
 
 CENTROID_SQL = f"""
@@ -272,9 +276,9 @@ SELECT topic, lang, words, frequency FROM freq LEFT JOIN best USING (topic, lang
 
 
 def per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = arrays(spark, sf_dir)
-    vocab = terms.vocabulary(terms.group_counts(rows, "topic"))
-    return topics.topics_per_class(rows, vocab, seeds(spark, sf_dir), "lang")
+    counts, vocab = counted(spark, sf_dir, "lang")
+    rows = classed(spark, sf_dir).drop("text")
+    return topics.topics_per_class(rows, counts, vocab, seeds(spark, sf_dir), "lang")
 
 
 @query("a18_topics_per_class", PER_CLASS_SQL)
@@ -305,11 +309,11 @@ tuned AS (SELECT topic, period, term, (CASE WHEN had THEN (s + o) / 2 ELSE s END
 
 
 def over_time(spark: SparkSession, sf_dir: str, **tuning) -> DataFrame:
-    rows = arrays(spark, sf_dir)
-    counts = terms.group_counts(rows, "topic")
-    vocab, seed = terms.vocabulary(counts), seeds(spark, sf_dir)
-    whole = terms.class_weights(counts, vocab, seed)
-    return topics.topics_over_time(rows, vocab, seed, whole, "period", **tuning)
+    counts, vocab = counted(spark, sf_dir, "period")
+    seed = durable(seeds(spark, sf_dir))
+    whole = durable(terms.class_weights(counts, vocab, seed))
+    rows = classed(spark, sf_dir).drop("text")
+    return topics.topics_over_time(rows, counts, vocab, seed, whole, "period", **tuning)
 
 
 @query(
