@@ -66,9 +66,15 @@ def char_chunks(text: Column | str, context_limit: int, test: str = "chars") ->
     )
 
 
-def explode_chunks(docs: DataFrame, chunks: Column, key: str = "doc_id") -> DataFrame:
-    """One row per chunk with its position and its weight, the number of characters."""
-    return docs.select(key, F.posexplode(chunks).alias("chunk_no", "chunk")).withColumn(
+def explode_chunks(
+    docs: DataFrame, chunks: Column, key: str = "doc_id", keep_empty: bool = False
+) -> DataFrame:
+    """One row per chunk with its position and its weight, the number of characters.
+
+    With ``keep_empty`` a document without chunks has one row of nulls.
+    """
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    return docs.select(key, explode(chunks).alias("chunk_no", "chunk")).withColumn(
         "weight", F.length("chunk").cast("bigint")
     )
 

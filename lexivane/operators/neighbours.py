@@ -292,8 +292,10 @@ def meet(
         .join(queries.select("uid", "vec"), "uid")
         .select("uid", "vec", "cell", "chunk", "part")
     )
-    right = cells.base.join(parts, ["cell", "chunk"]).select(
-        "uid", "vec", "cell", "chunk",
+    # renamed for the cogroup: both sides may come from the same table
+    held = cells.base.join(parts, ["cell", "chunk"])
+    right = held.select(
+        *[F.col(c).alias(c) for c in ("uid", "vec", "cell", "chunk")],
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
     )
     keys = ["cell", "chunk", "part"]

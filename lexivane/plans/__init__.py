@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     q_delivery,
     q_functions,
     q_sources,
+    q_streaming,
     q_topics,
     q_vectors,
 )
