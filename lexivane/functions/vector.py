@@ -72,25 +72,18 @@ def pool_chunks(
 ) -> DataFrame:
     """One vector per document: mean weighted by chunk length, then unit length.
 
-    A single chunk is kept as it is unless ``normalise_single``. Where ``chunks`` has an
-    ``error`` column, a document with a failed chunk has that error and no vector. A mean
-    of zero length has no direction: no vector either, and ``error`` says so.
+    A single chunk is kept as it is unless ``normalise_single``. A mean of zero length
+    has no direction: its vector is null and ``error`` says so.
     """
-    failed = F.col("error") if "error" in chunks.columns else F.lit(None).cast("string")
-    good = F.col(vector).isNotNull()
-    value = F.coalesce(as_double(vector), F.array().cast("array<double>"))
     pooled = chunks.groupBy(key).agg(
-        F.count(weight).alias("n_chunks"),
-        F.min(failed).alias("__failed"),
+        F.count("*").alias("n_chunks"),
         F.first(as_double(vector)).alias("__first"),
-        # rows of weight zero do not enter the mean
-        mean_vector(value, F.when(good, F.col(weight)).otherwise(0)).alias("__mean"),
+        mean_vector(vector, F.col(weight)).alias("__mean"),
     )
     single = l2_normalise("__first") if normalise_single else F.col("__first")
     vec = F.when(F.col("n_chunks") == 1, single).otherwise(l2_normalise("__mean"))
-    error = F.coalesce("__failed", F.when(vec.isNull(), "zero norm"))
     return pooled.select(
-        key, "n_chunks", F.when(error.isNull(), vec).alias("embedding"), error.alias("error")
+        key, "n_chunks", vec.alias("embedding"), F.when(vec.isNull(), "zero norm").alias("error")
     )
 
 

@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) with the smallest node of the component, by min-label propagation.
 
     Each round takes the smallest label among neighbours, then jumps to that label's own
-    label. Rounds are cut by reliable checkpoints and end when nothing changes.
+    label. Every round is written down and read back; they end when nothing changes.
     """
     both = edges.select("src", "dst").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import add_ngrams, drop_stop_words, tokens
+from ..session import durable
 
 # Fixed values of the published setting.
 MIN_DF = 6
@@ -62,41 +63,52 @@ def vocabulary(
     return terms.filter(F.col("df") >= min_df).orderBy(F.desc("f"), "term").limit(max_features)
 
 
-def class_weights(
-    counts: DataFrame, vocab: DataFrame, seeds: DataFrame | None = None,
-    boost: float = SEED_BOOST, reduce_frequent: bool = True, topic: str = "topic",
+def in_vocabulary(
+    counts: DataFrame, vocab: DataFrame, seeds: DataFrame | None, boost: float, *groups: str
 ) -> DataFrame:
-    """Class TF-IDF: (topic, term, tf, share, idf, score) over the vocabulary.
+    """Counts (groups, term, tf) of vocabulary terms with their ``f`` and ``boost``, written down.
 
-    score = sqrt(tf / topic total) * ln(1 + A / f) * boost, with A the mean topic total.
+    The vocabulary is joined first: rare terms are most rows and need no aggregation.
     """
-    kept = counts.groupBy(topic, "term").agg(F.sum("tf").alias("tf")).join(
-        vocab.select("term", "f"), "term"
+    terms = vocab.select("term", "f").withColumn("boost", F.lit(1.0))
+    if seeds is not None:
+        flagged = seeds.select("term", F.lit(boost).alias("__b"))
+        terms = terms.join(flagged, "term", "left").select(
+            "term", "f", F.coalesce("__b", "boost").alias("boost")
+        )
+    kept = counts.select(*groups, "term", "tf").join(terms, "term")
+    return durable(
+        kept.groupBy(*groups, "term").agg(
+            F.sum("tf").alias("tf"), F.first("f").alias("f"), F.first("boost").alias("boost")
+        )
     )
-    totals = kept.groupBy(topic).agg(F.sum("tf").alias("total"))
-    idf = term_idf(vocab, totals, seeds, boost)
-    return weigh(kept.drop("f").join(totals, topic), idf, reduce_frequent)
 
 
-def term_idf(
-    vocab: DataFrame, totals: DataFrame, seeds: DataFrame | None, boost: float = SEED_BOOST
-) -> DataFrame:
-    """(term, idf) with the seed boost folded in."""
-    mean = totals.agg(F.avg("total")).scalar()
-    factor = F.lit(1.0)
-    terms = vocab.select("term", "f")
-    if seeds is not None:
-        flagged = seeds.select("term", F.lit(boost).alias("__boost"))
-        terms = terms.join(flagged, "term", "left")
-        factor = F.coalesce("__boost", F.lit(1.0))
-    return terms.select("term", (F.log1p(mean / F.col("f")) * factor).alias("idf"))
+def weigh(kept: DataFrame, topic_totals: DataFrame, reduce_frequent: bool, *groups: str) -> DataFrame:
+    """Score rows by their share in the group and by idf.
 
-
-def weigh(counted: DataFrame, idf: DataFrame, reduce_frequent: bool = True) -> DataFrame:
-    """Score rows with tf and group total by share and idf."""
+    score = sqrt(tf / group total) * ln(1 + A / f) * boost, with A the mean topic total.
+    """
+    totals = kept.groupBy(*groups).agg(F.sum("tf").alias("total"))
+    mean = topic_totals.agg(F.avg("total")).scalar()
     share = F.col("tf") / F.col("total")
     damped = F.sqrt(share) if reduce_frequent else share
-    return counted.join(idf, "term").withColumn("score", damped * F.col("idf"))
+    return (
+        kept.join(totals, list(groups))
+        .withColumn("idf", F.log1p(mean / F.col("f")) * F.col("boost"))
+        .withColumn("score", damped * F.col("idf"))
+        .drop("f", "boost")
+    )
+
+
+def class_weights(
+    counts: DataFrame, vocab: DataFrame, seeds: DataFrame | None = None,
+    boost: float = SEED_BOOST, reduce_frequent: bool = True, topic: str = "topic",
+) -> DataFrame:
+    """Class TF-IDF over the vocabulary: (topic, term, tf, total, idf, score)."""
+    kept = in_vocabulary(counts, vocab, seeds, boost, topic)
+    totals = kept.groupBy(topic).agg(F.sum("tf").alias("total"))
+    return weigh(kept, totals, reduce_frequent, topic)
 
 
 def top_terms(weights: DataFrame, n: int | None, *groups: str, score: str = "score") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import SUMMARY_PROMPT, fill_prompt
 from ..functions.vector import mean_vector, norm, dot
-from .terms import CLASS_WORDS, term_idf, top_terms, weigh, words_of
+from .terms import CLASS_WORDS, SEED_BOOST, in_vocabulary, top_terms, weigh, words_of
 
 
 def topic_frequency(assignment: DataFrame) -> DataFrame:
@@ -107,11 +107,9 @@ def grouped_weights(
 
     ``counts`` is group_counts by topic and group; the topic totals are rolled up from it.
     """
-    by_group = counts.join(vocab.select("term"), "term", "left_semi")
-    corpus = by_group.groupBy("topic").agg(F.sum("tf").alias("total"))
-    idf = term_idf(vocab, corpus, seeds)
-    totals = by_group.groupBy("topic", group).agg(F.sum("tf").alias("total"))
-    return weigh(by_group.join(totals, ["topic", group]), idf)
+    kept = in_vocabulary(counts, vocab, seeds, SEED_BOOST, "topic", group)
+    corpus = kept.groupBy("topic").agg(F.sum("tf").alias("total"))
+    return weigh(kept, corpus, True, "topic", group)
 
 
 def group_frequency(docs: DataFrame, group: str) -> DataFrame:

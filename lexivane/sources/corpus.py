@@ -115,7 +115,7 @@ def with_row_index(
     ``order`` lists columns, a leading ``-`` meaning descending. The ordering columns
     alone are range-partitioned, sorted and numbered inside their partition, then shifted
     by the sizes of the partitions before. Only the per-partition counts meet in one task.
-    The checkpoint pins the partition borders, which both uses must share.
+    Writing the numbers down pins the partition borders, which both uses must share.
     """
     names = [o.lstrip("-") for o in order]
     by = [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
