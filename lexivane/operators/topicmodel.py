@@ -214,10 +214,13 @@ class TopicModel:
     def tables(self, docs: DataFrame, topics: DataFrame) -> dict[str, DataFrame]:
         vectors = docs.select("doc_id", "embedding").filter(F.size("embedding") > 0)
         centres = durable(centroids(vectors.join(topics, "doc_id")))
-        likely = topic_probabilities(vectors, centres).select("doc_id", F.inline("probabilities"))
-        assignment = topics.select("doc_id", "topic").join(likely, ["doc_id", "topic"], "left")
+        likely = topic_probabilities(vectors, centres)
+        own = F.get(F.filter("probabilities", lambda p: p["topic"] == F.col("topic")), F.lit(0))
+        assignment = topics.select("doc_id", "topic").join(likely, "doc_id", "left").select(
+            "doc_id", "topic", F.coalesce(own["probability"], F.lit(0.0)).alias("probability")
+        )
         return {
-            "assignment": assignment.fillna(0.0, ["probability"]),
+            "assignment": assignment,
             "centroids": centres,
             "frequency": topic_frequency(topics),
             **self.terms(docs, topics),
