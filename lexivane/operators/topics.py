@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import SUMMARY_PROMPT, fill_prompt
-from ..functions.vector import mean_vector, norm, dot
+from ..functions.vector import dot, mean_vector, norm
+from ..session import durable
 from .terms import CLASS_WORDS, SEED_BOOST, in_vocabulary, top_terms, weigh, words_of
 
 
@@ -158,7 +159,7 @@ def tuned_weights(
     periods = present.select(period).distinct()
     order = Window.orderBy(period)
     following = periods.select(period, F.lead(period).over(order).alias("__next"))
-    local = l1_share(weights.select("topic", period, "term", "score"), "topic", period)
+    local = durable(l1_share(weights.select("topic", period, "term", "score"), "topic", period))
     parts = local.select("topic", period, "term", F.col("score").alias("now"), F.lit(0.0).alias("old"))
     occurs = present.select("topic", period).distinct()
     if evolution:
