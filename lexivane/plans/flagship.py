@@ -19,20 +19,20 @@ WHERE n_tokens >= {MIN_TOKENS} GROUP BY lang"""
 
 @query("coverage_by_language", SQL)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long_enough = (
-        texts(spark, sf_dir)
-        .select(
-            "doc_id", "lang", F.length("text").alias("n"), token_count("text").alias("tokens")
-        )
-        .filter(F.col("tokens") >= MIN_TOKENS)
+    # The length test sits in the aggregates: as a filter Catalyst would move it below the
+    # redistribution of the texts and count the tokens twice.
+    counted = texts(spark, sf_dir).select(
+        "doc_id", "lang", F.length("text").alias("n"), token_count("text").alias("tokens")
     )
     vectors = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.size("embedding").alias("d")
     )
-    return long_enough.join(vectors, "doc_id", "left").groupBy("lang").agg(
-        F.count("*").alias("docs"),
-        F.count("d").alias("vectors"),
-        F.max("d").cast("bigint").alias("dimension"),
-        F.sum("tokens").alias("tokens"),
-        F.max("n").cast("bigint").alias("longest"),
+    enough = F.col("tokens") >= MIN_TOKENS
+    by_language = counted.join(vectors, "doc_id", "left").groupBy("lang").agg(
+        F.count_if(enough).alias("docs"),
+        F.count(F.when(enough, F.col("d"))).alias("vectors"),
+        F.max(F.when(enough, F.col("d"))).cast("bigint").alias("dimension"),
+        F.sum(F.when(enough, F.col("tokens"))).alias("tokens"),
+        F.max(F.when(enough, F.col("n"))).cast("bigint").alias("longest"),
     )
+    return by_language.filter("docs > 0")
