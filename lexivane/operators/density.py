@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.vector import as_double
 from ..session import durable
 from ..sources.corpus import with_row_index
+from .components import connected_components
 from .neighbours import (
     BROADCAST_BYTES, CHUNK_ROWS, clean, distinct_vectors, knn, members, metric_of, radius_forest,
 )
@@ -16,43 +17,6 @@ from .neighbours import (
 NOISE = -1
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) with the smallest node of the component, by min-label propagation.
-
-    Each round takes the smallest label among neighbours, then jumps to that label's own
-    label. Every round is written down and read back; they end when nothing changes.
-    """
-    both = edges.select("src", "dst").unionByName(
-        edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    ).filter("src != dst")
-    links = durable(both.distinct())
-    labels = durable(
-        links.groupBy(F.col("src").alias("node")).agg(
-            F.least(F.min("dst"), F.first("src")).alias("component")
-        )
-    )
-    while True:
-        offered = (
-            links.join(labels, links["src"] == labels["node"])
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.min("component").alias("offer"))
-        )
-        lower = labels.join(offered, "node").select(
-            "node", "component", F.least("component", "offer").alias("next")
-        )
-        jump = labels.select(F.col("node").alias("next"), F.col("component").alias("jump"))
-        moved = durable(
-            lower.join(jump, "next", "left").select(
-                "node",
-                F.least("next", F.coalesce("jump", "next")).alias("component"),
-                (F.least("next", F.coalesce("jump", "next")) != F.col("component")).alias("changed"),
-            )
-        )
-        labels = moved.select("node", "component")
-        if moved.filter("changed").isEmpty():
-            return labels
-
-
 def core_distances(
     points: DataFrame, min_samples: int, metric: str, broadcast_bytes: int, chunk_rows: int
 ) -> DataFrame:
