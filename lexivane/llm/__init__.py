@@ -1,6 +1,6 @@
 """Operators for preparing training text at scale, with their queries."""
 
-from . import toxicity  # noqa: F401
+from . import contamination, minhash, packing, pii, toxicity  # noqa: F401
 from .common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

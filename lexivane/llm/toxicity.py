@@ -2,7 +2,7 @@
 
 A text's features are the hashed character n-grams that occur in it. Training counts, over a
 sample of labelled rows, in how many toxic and clean texts each n-gram occurs. N-grams whose
-split between the classes could be chance are dropped; the rest carry the log ratio of their
+split between the classes could be chance or is weak are dropped; the rest carry the log ratio of their
 smoothed rates as value, and a logistic regression is fitted on these values. Scoring looks
 the n-grams of a whole text up in one weight table of fixed size.
 """
@@ -22,6 +22,7 @@ SIZES = (3, 4, 5)
 BITS = 20
 SAMPLE_ROWS = 8192
 LEAST_EVIDENCE = 20.0
+LEAST_RATIO = 1.0
 THRESHOLD = 0.7
 
 
@@ -118,7 +119,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     rate = F.log((F.col("b") + 0.5) / (n1 + 1.0)) - F.log((F.col("a") + 0.5) / (n0 + 1.0))
     kept = (
         counted.filter((F.col("a") + F.col("b")) < n0 + n1)
-        .select("f", evidence.alias("g"), rate.alias("r")).filter(F.col("g") >= LEAST_EVIDENCE)
+        .select("f", evidence.alias("g"), rate.alias("r"))
+        .filter((F.col("g") >= LEAST_EVIDENCE) & (F.abs("r") >= LEAST_RATIO))
         .orderBy("f").toPandas()
     )
     if not len(kept):
@@ -144,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 def _regress(ids: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: float = 1e-3,
              rounds: int = 400) -> tuple[np.ndarray, float]:
     """Weights (already times the ratios) and bias of a class-balanced logistic regression."""
-    row = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+    row = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) for i in ids])
     col = np.concatenate(ids)
     value = ratio[col]
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
