@@ -1,6 +1,8 @@
 """Operators for preparing training text at scale, with their queries."""
 
-from . import contamination, minhash, packing, pii, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    contamination, html, licenses, minhash, ngrams, packing, pii, secrets, toxicity, vectors,
+)
 from .common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
