@@ -22,6 +22,7 @@ from ..session import durable
 from .common import query, table
 
 SHARE = 0.5
+MOST_TEXT = 0.8
 SALTS = 16
 
 # fixed values: element names of HTML by their kind, and usual names of page furniture
@@ -200,7 +201,7 @@ def tokens(pages: DataFrame) -> DataFrame:
                     elif not hidden:
                         n = len(e[1].strip())
                         if n:
-                            for path in {p for p, _ in held}:
+                            for path in {"", *(p for p, _ in held)}:
                                 chars[path] = chars.get(path, 0) + n
                 counts[""] = 1
                 for path, n in counts.items():
@@ -219,7 +220,7 @@ def templates(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """(host, slot): the article's slot in the template of every host that has one."""
     sums = [F.sum(c).alias(c) for c in ("pages", "n", "h1", "h2", "chars")]
     known = durable(tokens(pages).groupBy("host", "path").agg(*sums))
-    sizes = known.filter("path = ''").select("host", F.col("pages").alias("all_pages"))
+    sizes = known.filter("path = ''").select("host", F.col("pages").alias("all_pages"), F.col("chars").alias("whole"))
     classes = known.filter("path <> ''").groupBy("host", "h1", "h2").agg(
         F.count("*").alias("tokens"), F.max("pages").alias("pages"), F.max("n").alias("n")
     )
@@ -231,13 +232,13 @@ def templates(pages: DataFrame, share: float = SHARE) -> DataFrame:
     slots = known.filter("path <> '' AND chars > 0").join(valid, ["host", "h1", "h2"]).select(
         "host", "path", "chars", named.alias("named"), F.size(F.split("path", "/")).alias("depth")
     )
-    most = slots.groupBy("host").agg(F.max("named").alias("any"), F.max("chars").alias("most"))
+    most = slots.groupBy("host").agg(F.max("named").alias("any")).join(sizes, "host")
     fit = slots.join(most, "host").filter(
-        F.when(F.col("any"), F.col("named")).otherwise(F.col("chars") >= 0.6 * F.col("most"))
-    )
-    best = F.when(F.col("any"), F.struct(F.col("chars"), -F.col("depth"), F.col("path"))).otherwise(
-        F.struct(F.col("depth").cast("long"), F.col("depth"), F.col("path"))
+        F.when(F.col("any"), F.col("named")).otherwise(F.col("chars") >= MOST_TEXT * F.col("whole"))
     )
+    # an element with such a name and the most text, else the innermost that still holds most of it
+    first = F.when(F.col("any"), F.col("chars")).otherwise(F.col("depth").cast("long"))
+    best = F.struct(first.alias("first"), F.col("chars").alias("second"), F.col("path").alias("third"))
     return fit.groupBy("host").agg(F.max_by("path", best).alias("slot"))
 
 

@@ -320,14 +320,28 @@ def _named(grouped: DataFrame, least: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, unchanged, but for one row for each group of near-duplicates.
 
-    The row with the smallest id stays. Of rows that repeat an id with the same text, one stays
-    per id and text; rows without an id or without words are all kept.
+    The row with the smallest id stays, in all its repetitions. Rows without an id or without
+    words are all kept.
     """
     kept = near_duplicates(docs, shingle, percent).filter("kept AND doc_id IS NOT NULL")
     some = docs.filter("doc_id IS NOT NULL").join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
     return some.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
-@query("op9_minhash")
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(t) >= 4 THEN [array_to_string(t[i : i + 3], ' ') FOR i IN range(1, len(t) - 2)]
+  WHEN len(t) > 0 THEN [array_to_string(t, ' ')] ELSE [] END) AS sh FROM w),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e a JOIN e b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
+  WHERE 100 * both >= 80 * (na.n_shingles + nb.n_shingles - both)),
+r AS (SELECT doc_id AS d, doc_id AS reach FROM w UNION SELECT d, b FROM r JOIN l ON reach = a)
+SELECT doc_id, n_shingles, min(reach) AS component_id, doc_id = min(reach) AS kept
+FROM n JOIN r ON d = doc_id GROUP BY doc_id, n_shingles"""
+
+
+@query("op9_minhash", SQL)
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)

@@ -27,6 +27,7 @@ KINDS = ("assign", "access", "hex", "random")
 BASE = KINDS[:3]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SAMPLE_ROWS = 5000
+BORROWED = 20.0
 LEAST_MEAN = 0.35
 LEAST_TOTAL = 14.0
 
@@ -92,17 +93,23 @@ def train(found: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[fl
         F.explode(F.regexp_extract_all(blank, F.lit(WORD), F.lit(0))).alias("s")
     )
     labelled = secret.filter(F.length("s") > 1).select(F.lit(1).alias("y"), "s").unionByName(
-        plain.select(F.lit(0).alias("y"), "s")
+        # what is to be judged is no label: long strings with digits stay out
+        plain.filter((F.length("s") < 20) | ~F.col("s").rlike("[0-9]")).select(F.lit(0).alias("y"), "s")
     )
     known = {(r["y"], r["pair"]): r["n"] for r in _transitions(labelled).filter(
         F.col("pair").rlike(r"^[A-Za-z0-9+/_=.-]{2}$")
     ).collect()}
-    size = len(ALPHABET)
-    total = {(y, a): size + sum(known.get((y, a + b), 0) for b in ALPHABET) for y in (0, 1) for a in ALPHABET}
-    return [
-        math.log((known.get((1, a + b), 0) + 1) / total[1, a]) - math.log((known.get((0, a + b), 0) + 1) / total[0, a])
-        for a in ALPHABET for b in ALPHABET
-    ]
+    models = []
+    for y in (1, 0):
+        # a character that was rarely seen before another borrows from how often it is seen at all
+        every = {b: 1 + sum(known.get((y, a + b), 0) for a in ALPHABET) for b in ALPHABET}
+        after = {a: sum(known.get((y, a + b), 0) for b in ALPHABET) for a in ALPHABET}
+        share = {b: n / sum(every.values()) for b, n in every.items()}
+        models.append([
+            math.log((known.get((y, a + b), 0) + BORROWED * share[b]) / (after[a] + BORROWED))
+            for a in ALPHABET for b in ALPHABET
+        ])
+    return [p - q for p, q in zip(*models)]
 
 
 def ratio(string: Column, model: list[float]) -> Column:
@@ -134,12 +141,14 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )))
     random = F.filter("strings", lambda s: (s["llr"] >= LEAST_TOTAL) & (
         s["llr"] >= LEAST_MEAN * (F.length(s["value"]) - 1)) & s["value"].rlike("[0-9]"))
-    parts = [F.transform(k, lambda s, i=i, k=k: F.struct(
-        s["start"].alias("start"), F.lit(i).alias("rank"), F.lit(k).alias("kind"), s["stop"].alias("stop"), s["value"].alias("value")
-    )) for i, k in enumerate(BASE)]
-    parts.append(F.transform(random, lambda s: F.struct(
-        s["start"].alias("start"), F.lit(3).alias("rank"), F.lit("random").alias("kind"), s["stop"].alias("stop"), s["value"].alias("value")
-    )))
+
+    def named(found, kind: str) -> Column:
+        return F.transform(found, lambda s: F.struct(
+            s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"),
+            s["stop"].alias("stop"), s["value"].alias("value"),
+        ))
+
+    parts = [*(named(k, k) for k in BASE), named(random, "random")]
     every = F.transform(F.array_sort(F.concat(*parts)), lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value")
     ))
