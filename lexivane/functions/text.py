@@ -37,9 +37,31 @@ def batched(values: Column | str, n: int) -> Column:
 
 
 def token_chunks(text: Column | str, context_limit: int, special_tokens: int = 0) -> Column:
-    """Chunks of at most ``context_limit - special_tokens`` tokens, as text. Empty text: no chunk."""
-    groups = batched(tokens(text), context_limit - special_tokens)
-    return F.transform(groups, lambda g: F.array_join(g, " "))
+    """Chunks of at most ``context_limit - special_tokens`` tokens, cut from the original text.
+
+    A token takes all characters up to the next one with it, and what comes before the first
+    token opens the first chunk, so the chunks add up to the text. A text without tokens is
+    one chunk, an empty one none.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0)).alias("token"),
+        F.split(text, TOKEN_PATTERN, -1).alias("gap"),
+    )
+
+    def cut(p: Column) -> Column:
+        after = F.slice(p["gap"], 2, F.size(p["token"]))
+        units = F.zip_with(p["token"], after, lambda t, g: F.concat(t, g))
+        groups = batched(units, context_limit - special_tokens)
+        return F.transform(groups, lambda g, i: F.concat(
+            F.when(i == 0, F.get(p["gap"], F.lit(0))).otherwise(""), F.array_join(g, "")
+        ))
+
+    return (
+        F.when(F.length(text) == 0, F.slice(F.array(text), 1, 0))
+        .when(~text.rlike(TOKEN_PATTERN), F.array(text))
+        .otherwise(bind(parts, cut))
+    )
 
 
 def char_chunks(text: Column | str, context_limit: int, test: str = "chars") -> Column:
@@ -114,7 +136,9 @@ def drop_stop_words(df: DataFrame, column: str, stop_words: DataFrame, key: str)
     """Remove stop words from an array column.
 
     ``stop_words`` has one column ``word``. Up to MAX_STOP_WORDS the list goes to the
-    executors as a hash set; a longer list is applied as an anti join on exploded tokens.
+    executors as a hash set; a longer list is joined to exploded tokens, which come back
+    together by a row number of their own. Both give the same: a null array stays null, and
+    ``key`` may repeat.
     """
     found = [r[0] for r in stop_words.select("word").distinct().limit(MAX_STOP_WORDS + 1).collect()]
     if len(found) <= MAX_STOP_WORDS:
@@ -123,20 +147,25 @@ def drop_stop_words(df: DataFrame, column: str, stop_words: DataFrame, key: str)
         )
         if not found:
             return df
-        return remover.transform(df).withColumn(column, F.col("__kept")).drop("__kept")
-    kept = (
-        df.select(key, F.posexplode(column).alias("__pos", "word"))
-        .join(stop_words.select("word").distinct(), "word", "left_anti")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__kept"))
-        .select(key, F.col("__kept.word").alias("__kept"))
-    )
-    empty = F.slice(F.col(column), 1, 0)
-    return (
-        df.join(kept, key, "left")
-        .withColumn(column, F.coalesce("__kept", empty))
-        .drop("__kept")
+        held = df.withColumn("__null", F.col(column).isNull()).withColumn(
+            column, F.coalesce(column, F.array().cast("array<string>"))
+        )
+        kept = remover.transform(held).withColumn(column, F.when(~F.col("__null"), F.col("__kept")))
+        return kept.drop("__kept", "__null")
+    listed = stop_words.select(F.col("word").alias("__word"), F.lit(True).alias("__stop")).distinct()
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    rest = [c for c in df.columns if c != column]
+    spread = numbered.select(
+        "__row", *rest, F.col(column).isNull().alias("__null"),
+        F.posexplode_outer(column).alias("__pos", "__word"),
+    ).join(listed, "__word", "left")
+    wanted = F.col("__word").isNotNull() & F.col("__stop").isNull()
+    kept = spread.groupBy("__row").agg(
+        *(F.first(c).alias(c) for c in rest),
+        F.first("__null").alias("__null"),
+        F.array_sort(F.collect_list(F.when(wanted, F.struct("__pos", "__word")))).alias("__kept"),
     )
+    return kept.withColumn(column, F.when(~F.col("__null"), F.col("__kept.__word"))).select(*df.columns)
 
 
 def add_ngrams(df: DataFrame, column: str, out: str, low: int = 1, high: int = 3) -> DataFrame:

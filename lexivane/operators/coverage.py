@@ -43,9 +43,13 @@ def merge_cached(cached: DataFrame, new: DataFrame, needed: DataFrame) -> DataFr
 
 
 def by_document(store: DataFrame) -> DataFrame:
-    """One row per doc with a map from provider to vector, as small as the provider list."""
+    """One row per doc with a map from provider to vector, as small as the provider list.
+
+    Of several vectors for a provider and doc the newest counts, or the greatest without times.
+    """
+    order = "completed_at" if "completed_at" in store.columns else "embedding"
     entries = F.collect_list(F.struct("provider", "embedding"))
-    return store.groupBy("doc_id").agg(F.map_from_entries(entries).alias("embeddings"))
+    return latest(store, order).groupBy("doc_id").agg(F.map_from_entries(entries).alias("embeddings"))
 
 
 def union_stores(*stores: DataFrame) -> DataFrame:

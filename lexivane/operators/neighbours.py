@@ -15,13 +15,13 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.vector import vector_problem
 from ..session import durable
 
 BROADCAST_BYTES = 32 << 20
 CHUNK_ROWS = 1024
-MAX_PIVOTS = 2048
 TIE_DIGITS = 9
 SLACK = 1e-9
 
@@ -65,13 +65,38 @@ def metric_of(name: str) -> Metric:
     return Metric(name)
 
 
-def clean(df: DataFrame, key: str, vector: str, metric: Metric) -> DataFrame:
-    """Rows with a usable vector, as (id, vec)."""
+def problem(vector: str, metric: Metric, dimension: int) -> Column:
+    """Why a vector cannot be compared, or null; a zero vector has no direction, but a place."""
     vec = F.col(vector)
-    ok = vec.isNotNull() & (F.size(vec) > 0)
-    if metric.name == "cosine":
-        ok = ok & F.exists(vec, lambda x: x != 0)
-    return df.filter(ok).select(F.col(key).alias("id"), vec.alias("vec"))
+    infinite = F.exists(vec, lambda x: F.abs(x) == float("inf"))
+    found = F.coalesce(vector_problem(vector, dimension), F.when(infinite, "infinite"))
+    return found if metric.name == "cosine" else F.when(found != "zero", found)
+
+
+def usual_dimension(df: DataFrame, vector: str) -> int:
+    """The dimension that most vectors have, the smaller one of equals; 0 without vectors."""
+    sizes = df.select(F.size(vector).alias("d")).filter("d > 0").groupBy("d").agg(F.count("*").alias("n"))
+    found = sizes.agg(F.max_by("d", F.struct("n", -F.col("d")))).first()[0]
+    return found or 0
+
+
+def clean(df: DataFrame, key: str, vector: str, metric: Metric, dimension: int | None = None) -> DataFrame:
+    """Rows with a usable vector of the given or else the usual dimension, as (id, vec)."""
+    dimension = dimension or usual_dimension(df, vector)
+    return df.filter(problem(vector, metric, dimension).isNull()).select(
+        F.col(key).alias("id"), F.col(vector).alias("vec")
+    )
+
+
+def rejected(
+    df: DataFrame, key: str = "doc_id", vector: str = "embedding", metric: str = "cosine",
+    dimension: int | None = None,
+) -> DataFrame:
+    """(key, reason) of the rows that a search leaves out."""
+    dimension = dimension or usual_dimension(df, vector)
+    return df.select(key, problem(vector, metric_of(metric), dimension).alias("reason")).filter(
+        "reason IS NOT NULL"
+    )
 
 
 def fits(df: DataFrame, budget: int) -> bool:
@@ -212,7 +237,7 @@ def build_cells(units: DataFrame, metric: Metric, k: int, chunk_rows: int) -> Ce
     """Pivots drawn by hash, and every distinct base vector in the cell of its nearest pivot."""
     n = units.count()
     dim = units.select(F.size("vec")).first()[0]
-    limit = max(1, min(MAX_PIVOTS, BROADCAST_BYTES // (8 * dim), int(np.ceil(np.sqrt(n)))))
+    limit = max(1, min(BROADCAST_BYTES // (8 * dim), int(np.ceil(np.sqrt(n)))))
     drawn = units.select("uid", "vec").orderBy(F.xxhash64("uid"), "uid").limit(limit).collect()
     pivots = metric.prepare([r["vec"] for r in drawn])
     assigned = durable(_assign(units.select("uid", "vec"), pivots, metric, k))
@@ -257,7 +282,8 @@ def visits(queries: DataFrame, cells: Cells, metric: Metric, skip_own: bool) ->
                 q = metric.prepare(pdf["vec"])
                 c = metric.chord(metric.distances(q, pivots))
                 low = np.maximum(c - far, near - c) - metric.slack(q)[:, None]
-                row, cell = np.nonzero(low <= pdf["bound"].to_numpy()[:, None])
+                # written so that a bound that cannot be compared rules nothing out
+                row, cell = np.nonzero(~(low > pdf["bound"].to_numpy()[:, None]))
                 count = chunks[cell]
                 start = np.repeat(np.cumsum(count) - count, count)
                 row, cell = np.repeat(row, count), np.repeat(cell, count)
@@ -362,12 +388,15 @@ def knn(
 ) -> DataFrame:
     """The k nearest base rows of every query: (id, neighbour, distance, rank).
 
-    Equal distances (to nine digits) are ordered by neighbour id. ``exclude_self`` leaves
+    Vectors that are null, empty, of another dimension than most of the base, or hold a null,
+    NaN or infinity take no part; ``rejected`` lists them with the reason. Equal distances (to
+    nine digits) are ordered by neighbour id. ``exclude_self`` leaves
     out the row with the query's own id, for a table searched against itself.
     """
     m = metric_of(metric)
-    q = clean(queries, query_key, vector, m)
-    b = clean(base, base_key, base_vector or vector, m)
+    dimension = usual_dimension(base, base_vector or vector)
+    q = clean(queries, query_key, vector, m, dimension)
+    b = clean(base, base_key, base_vector or vector, m, dimension)
     if fits(b, broadcast_bytes):
         found = _broadcast_search(q, b, k, m, exclude_self)
     else:
@@ -448,20 +477,28 @@ def neighbour_graph(edges: DataFrame, k: int) -> DataFrame:
 
     @F.pandas_udf("double")
     def width(ds: pd.Series, rho: pd.Series) -> pd.Series:
-        out = np.zeros(len(ds))
-        for i, (d, r) in enumerate(zip(ds, rho)):
-            over = np.maximum(np.asarray(d, dtype=np.float64) - r, 0.0)
-            low, high, mid = 0.0, np.inf, 1.0
-            for _ in range(64):
-                total = np.exp(-over / mid).sum()
-                if abs(total - target) < 1e-5:
-                    break
-                if total > target:
-                    high, mid = mid, (low + mid) / 2
-                else:
-                    low, mid = mid, mid * 2 if high == np.inf else (mid + high) / 2
-            out[i] = max(mid, 1e-3 * (over.mean() if len(over) else 0.0), 1e-12)
-        return pd.Series(out)
+        """All points of a batch at once: short lists are filled up with infinity, whose weight is 0."""
+        if not len(ds):
+            return pd.Series([], dtype=float)
+        over = np.full((len(ds), max(len(d) for d in ds)), np.inf)
+        for i, d in enumerate(ds):
+            over[i, : len(d)] = np.maximum(np.asarray(d, np.float64) - rho.iloc[i], 0.0)
+        known = np.isfinite(over)
+        mean = np.where(known, over, 0).sum(1) / np.maximum(known.sum(1), 1)
+        weight = lambda w: np.exp(-over / w[:, None]).sum(1)
+        # a weight sum grows with the width: double until it is passed, then halve the interval
+        high = np.maximum(mean, 1e-12)
+        for _ in range(60):
+            short = (weight(high) < target) & (known.sum(1) > target)
+            if not short.any():
+                break
+            high = np.where(short, 2 * high, high)
+        low = np.zeros(len(ds))
+        for _ in range(60):
+            middle = np.maximum((low + high) / 2, 1e-300)
+            under = weight(middle) < target
+            low, high = np.where(under, middle, low), np.where(under, high, middle)
+        return pd.Series(np.maximum(high, np.maximum(1e-3 * mean, 1e-12)))
 
     scale = points.select("id", "rho", width("ds", "rho").alias("sigma"))
     weight = F.exp(-F.greatest(F.col("distance") - F.col("rho"), F.lit(0.0)) / F.col("sigma"))

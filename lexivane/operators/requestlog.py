@@ -1,14 +1,13 @@
-"""Questions about ordered request logs: trailing counts, gaps, 429 runs, delays.
+"""Questions about ordered request logs: trailing counts, gaps, 429 runs.
 
 A single provider may own a third of the log, so nothing here orders a whole provider in
-one task. Trailing windows cut time into slices and copy the tail of each slice into the
-next one. Running values number the rows by a distributed sort, work inside slices of
-equal row count, and carry one summary row per slice.
+one task. Running values number the rows by a distributed sort, work inside slices of
+equal row count, and carry one summary row per slice; trailing counts are differences of
+such running values.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.corpus import with_row_index
@@ -16,22 +15,32 @@ from ..sources.corpus import with_row_index
 SLICE_ROWS = 100_000
 
 
-def trailing_counts(log: DataFrame, seconds: dict[str, int], key: str = "provider") -> DataFrame:
-    """For every request, the requests of its provider in the last n seconds, itself included."""
-    widest = max(seconds.values()) * 1_000_000
+def trailing_counts(
+    log: DataFrame, seconds: dict[str, int], key: str = "provider", row: str = "event_id",
+    rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """For every request, the requests of its provider in the last n seconds, itself included.
+
+    A count is the number of requests up to now less the number up to n seconds ago. Both
+    moments of every request are put in order with the requests themselves, and one running
+    sum over slices of equal row count answers them all, so no task holds a provider's day.
+    """
     us = F.unix_micros("ts")
-    own = F.floor(us / widest)
-    # every row also serves as history for the slice after its own
-    copies = F.array(
-        F.struct(own.alias("slice"), F.lit(False).alias("copy")),
-        F.struct((own + 1).alias("slice"), F.lit(True).alias("copy")),
+    spans = {"": 0, **seconds}
+    moments = [F.struct(F.lit(0).alias("kind"), us.alias("at"), F.lit("own").alias("of"))] + [
+        F.struct(F.lit(1).alias("kind"), (us - n * 1_000_000).alias("at"), F.lit(f"up_to_{name}").alias("of"))
+        for name, n in spans.items()
+    ]
+    asked = log.select(key, F.col(row).alias("__row"), F.inline(F.array(*moments))).withColumn(
+        "__id", F.struct("__row", "of")
     )
-    rows = log.withColumn("__us", us).select("*", F.inline(copies).alias("__slice", "__copy"))
-    by = Window.partitionBy(key, "__slice").orderBy("__us")
-    for name, span in seconds.items():
-        frame = by.rangeBetween(-(span * 1_000_000 - 1), 0)
-        rows = rows.withColumn(name, F.count("*").over(frame))
-    return rows.filter(~F.col("__copy")).drop("__us", "__slice", "__copy")
+    placed = with_row_index(asked, [key, "at", "kind", "__id"], "__id", "__idx").withColumn(
+        "__slice", F.floor(F.col("__idx") / rows)
+    )
+    seen = running(placed, {"__seen": ("sum", 1 - F.col("kind"))}, key).filter("kind = 1")
+    at = lambda name: F.max(F.when(F.col("of") == f"up_to_{name}", F.col("__seen")))
+    counted = seen.groupBy("__row").agg(*((at("") - at(name)).alias(name) for name in seconds))
+    return log.join(counted.withColumnRenamed("__row", row), row).select(*log.columns, *seconds)
 
 
 def breaches(counted: DataFrame, limits: dict[str, float]) -> DataFrame:
@@ -127,73 +136,3 @@ def throttle_runs(
         .withColumn("consecutive_429", F.when(ok, F.lit(0)).otherwise(open_run))
         .drop("__hits", "__at_ok")
     )
-
-
-# Fixed values, in tenths of a second: a 429 adds 5, the end of a run takes 1, range 0 to 50.
-DELAY_UP, DELAY_DOWN, DELAY_MAX = 5, -1, 50
-
-
-def _clamp(x: int) -> int:
-    return min(DELAY_MAX, max(0, x))
-
-
-def _compose(steps, add=0, low=0, high=DELAY_MAX):
-    """Clamped additions, one after the other, are again one clamped addition."""
-    for a in steps:
-        add, low, high = add + a, _clamp(low + a), _clamp(high + a)
-    return add, low, high
-
-
-def adaptive_delay(
-    log: DataFrame, key: str = "provider", row: str = "event_id", rows: int = SLICE_ROWS
-) -> DataFrame:
-    """The extra delay in force after each request, in tenths of a second.
-
-    Every slice is summarised as one clamped addition, the summaries are chained per
-    provider, and the rows of a slice are replayed from the value carried in.
-    """
-    runs = throttle_runs(log, key, row, rows)
-    step = (
-        F.when(F.col("http_status") == 429, DELAY_UP)
-        .when(F.col("ends_run"), DELAY_DOWN)
-        .otherwise(0)
-    )
-    steps = runs.select(key, row, "__slice", "__idx", step.cast("bigint").alias("step"))
-
-    def summarise(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        moves = pdf.sort_values("__idx")["step"]
-        return pd.DataFrame([(*group, *_compose(moves[moves != 0]))])
-
-    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__slice")
-        start, values = 0, []
-        for add, low, high in zip(pdf["add"], pdf["low"], pdf["high"]):
-            values.append(start)
-            start = min(high, max(low, start + add))
-        return pdf.assign(start=values)[[key, "__slice", "start"]]
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__idx")
-        value, values = int(pdf["start"].iloc[0]), []
-        for a in pdf["step"]:
-            value = _clamp(value + a)
-            values.append(value)
-        return pdf.assign(delay_tenths=values)[[row, "delay_tenths"]]
-
-    key_type, row_type = steps.schema[key].dataType, steps.schema[row].dataType
-    head = f"{key} {key_type.simpleString()}, __slice bigint"
-    moving = steps.filter("step != 0")
-    summaries = moving.groupBy(key, "__slice").applyInPandas(
-        summarise, f"{head}, add bigint, low bigint, high bigint"
-    )
-    every = steps.select(key, "__slice").distinct()
-    chained = (
-        every.join(summaries, [key, "__slice"], "left")
-        .fillna({"add": 0, "low": 0, "high": DELAY_MAX})
-        .groupBy(key)
-        .applyInPandas(carry, f"{head}, start bigint")
-    )
-    replayed = steps.join(chained, [key, "__slice"]).groupBy(key, "__slice").applyInPandas(
-        replay, f"{row} {row_type.simpleString()}, delay_tenths bigint"
-    )
-    return runs.join(replayed, row).drop("__idx", "__slice")

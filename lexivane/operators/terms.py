@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import add_ngrams, drop_stop_words, tokens
 from ..session import durable
+from ..sources.corpus import with_row_index
 
 # Fixed values of the published setting.
 MIN_DF = 6
@@ -56,11 +57,22 @@ def vocabulary(
 ) -> DataFrame:
     """(term, f, df): terms frequent enough, the ``max_features`` most frequent of them.
 
-    ``df_scope='doc'`` counts documents, ``'topic'`` counts topics. Ties go by term.
+    ``df_scope='doc'`` counts documents, ``'topic'`` counts topics. Ties go by term. The cut
+    frequency comes from a histogram of frequencies; only the terms that have exactly it are
+    put in order, by a distributed sort, so no task holds the vocabulary.
     """
     df = {"doc": F.sum("docs"), "topic": F.count_distinct(topic)}[df_scope]
     terms = counts.groupBy("term").agg(F.sum("tf").alias("f"), df.alias("df"))
-    return terms.filter(F.col("df") >= min_df).orderBy(F.desc("f"), "term").limit(max_features)
+    found = durable(terms.filter(F.col("df") >= min_df))
+    down = Window.orderBy(F.desc("f")).rowsBetween(Window.unboundedPreceding, 0)
+    histogram = found.groupBy("f").agg(F.count("*").alias("n")).withColumn("most", F.sum("n").over(down))
+    cut = histogram.filter(F.col("most") > max_features).orderBy(F.desc("f")).first()
+    if cut is None:
+        return found
+    room = max_features - (cut["most"] - cut["n"])
+    tied = with_row_index(found.filter(F.col("f") == cut["f"]), ["term"], "term", "__place")
+    kept = tied.filter(F.col("__place") < room).select(*found.columns)
+    return found.filter(F.col("f") > cut["f"]).unionByName(kept)
 
 
 def in_vocabulary(

@@ -122,7 +122,10 @@ def topic_probabilities(
     m = Metric("cosine")
     base = clean(centres.filter(F.col("topic") >= 0), "topic", "centroid", m)
     scored = similarities(clean(docs, "doc_id", "embedding", m), base, broadcast_bytes)
-    rows = scored.groupBy("id").agg(F.flatten(F.collect_list("scores")).alias("scores"))
+    if fits(base, broadcast_bytes):  # one block: every row has all its scores already
+        rows = scored.select("id", "scores")
+    else:
+        rows = scored.groupBy("id").agg(F.flatten(F.collect_list("scores")).alias("scores"))
     total = F.aggregate("scores", F.lit(0.0), lambda acc, s: acc + F.exp(s["similarity"]))
     shared = bind(
         F.struct(F.col("scores").alias("all"), total.alias("total")),

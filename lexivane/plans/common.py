@@ -170,7 +170,7 @@ SELECT event_type AS provider, user_id AS doc_id, event_id AS attempt, ts,
        CASE WHEN value > 110 THEN 'ok' ELSE 'failed' END AS status,
        CASE WHEN value < 20 THEN 429 WHEN value < 25 THEN 500 ELSE 200 END AS http_status,
        CASE WHEN value < 20 THEN 'HTTP 429' WHEN value < 25 THEN 'HTTP 500'
-            WHEN value <= 110 THEN 'Empty embeddings returned' END AS error
+            WHEN value <= 110 THEN 'no vector' END AS error
 FROM events"""
 
 
@@ -185,7 +185,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(value < 20, 429).when(value < 25, 500).otherwise(200).alias("http_status"),
         F.when(value < 20, "HTTP 429")
         .when(value < 25, "HTTP 500")
-        .when(value <= 110, "Empty embeddings returned")
+        .when(value <= 110, "no vector")
         .alias("error"),
     )
 
@@ -194,6 +194,15 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOKENS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
 
+def units_sql(source: str, key: str) -> str:
+    """(key, text, g, u): the gaps between tokens, and every token with the gap behind it."""
+    token = r"[\p{L}\p{N}_]{2,}"
+    return f"""
+    SELECT {key}, text, g, [x || g[i + 1] FOR x, i IN a] AS u FROM (
+      SELECT {key}, text, regexp_extract_all(text, '{token}') AS a, string_split_regex(text, '{token}') AS g
+      FROM {source})"""
+
+
 STOP_SQL = f"""
 SELECT w AS word FROM (SELECT unnest(list_distinct({TOKENS_SQL})) AS w FROM documents)
 GROUP BY w ORDER BY count(*) DESC, w LIMIT 25"""
@@ -217,7 +226,7 @@ def classed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir).select(
         "doc_id",
         "text",
-        F.substring("source", 4, 10).cast("bigint").alias("topic"),
+        F.expr("substring(source, 4)").cast("bigint").alias("topic"),
         "lang",
         (F.col("doc_id") % 10).alias("period"),
     )
@@ -266,11 +275,12 @@ def hashed_sql(source: str, key: str, dimensions: int, limit: int = 512) -> str:
     """CTE ``pooled`` (key, n_chunks, dim, value): chunk, hash, pool by characters, unit length."""
     tok = TOKENS_SQL
     return f"""
-toks AS (SELECT {key}, {tok} AS t FROM {source}),
+toks AS (SELECT {key}, g, u, {tok} AS t FROM ({units_sql(source, key)})),
 pieces AS (
-  SELECT {key}, i // {limit} AS chunk_no, t[i+1:i+{limit}] AS words
-  FROM (SELECT {key}, t, unnest(range(0, len(t), {limit})) AS i FROM toks)),
-weighed AS (SELECT *, length(array_to_string(words, ' ')) AS weight FROM pieces),
+  SELECT {key}, i // {limit} AS chunk_no, t[i+1:i+{limit}] AS words,
+         CASE WHEN i = 0 THEN g[1] ELSE '' END || array_to_string(u[i+1:i+{limit}], '') AS chunk
+  FROM (SELECT {key}, g, u, t, unnest(range(0, len(t), {limit})) AS i FROM toks)),
+weighed AS (SELECT {key}, chunk_no, words, length(chunk) AS weight FROM pieces),
 placed AS (
   SELECT {key}, chunk_no, weight,
          CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {dimensions} AS dim, count(*) AS n

@@ -10,7 +10,7 @@ from ..operators import coverage, delivery
 from ..sources import corpus as corpora, vectors as stores
 from .common import (
     ALPHA, BETA, CORPUS_SQL, GAMMA, LOG_SQL, STORE_SQL, TOKENS_SQL, corpus, docs,
-    grams_sql, log, query, stop_words, store, table, texts, vectors,
+    grams_sql, log, query, stop_words, store, table, texts, vectors, units_sql,
 )
 
 MIN_TOKENS = 10
@@ -68,9 +68,9 @@ def p07(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus with one vector column for each of two providers."""
+    """The corpus with one vector column for each provider."""
     return stores.attach_providers(
-        corpus(spark, sf_dir), store(spark, sf_dir), [ALPHA, BETA], "doc_id"
+        corpus(spark, sf_dir), store(spark, sf_dir), [ALPHA, BETA, GAMMA], "doc_id"
     )
 
 
@@ -247,9 +247,10 @@ def f02(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "f03_token_chunks",
-    f"""WITH toks AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents),
-        pieces AS (SELECT doc_id, i // 510 AS chunk_no, array_to_string(t[i+1:i+510], ' ') AS chunk
-                   FROM (SELECT doc_id, t, unnest(range(0, len(t), 510)) AS i FROM toks))
+    f"""WITH toks AS ({units_sql('documents', 'doc_id')}),
+        pieces AS (SELECT doc_id, i // 510 AS chunk_no,
+                          CASE WHEN i = 0 THEN g[1] ELSE '' END || array_to_string(u[i+1:i+510], '') AS chunk
+                   FROM (SELECT doc_id, u, g, unnest(range(0, greatest(len(u), least(length(text), 1)), 510)) AS i FROM toks))
         SELECT doc_id, CAST(chunk_no AS BIGINT) AS chunk_no, CAST(length(chunk) AS BIGINT) AS weight,
                md5(chunk) AS digest FROM pieces""",
 )
@@ -457,13 +458,13 @@ def f14(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "f15_ngrams",
     f"""WITH {grams_sql(3)}
-        SELECT lang, term, count(*) AS tf FROM grams GROUP BY ALL HAVING count(*) >= 10""",
+        SELECT lang, term, count(*) AS tf FROM grams GROUP BY ALL""",
 )
 def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = texts(spark, sf_dir).select("doc_id", "lang", text.tokens("text").alias("t"))
     words = text.drop_stop_words(words, "t", stop_words(spark, sf_dir), "doc_id")
     grams = text.add_ngrams(words, "t", "grams").select("lang", F.explode("grams").alias("term"))
-    return grams.groupBy("lang", "term").agg(F.count("*").alias("tf")).filter("tf >= 10")
+    return grams.groupBy("lang", "term").agg(F.count("*").alias("tf"))
 
 
 @query(

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import coverage, delivery, reduce, topics
+from ..operators import coverage, delivery, reduce
 from ..session import work_dir
 from ..sources import corpus as corpora, sinks, vectors as stores, wordlists
 from .common import (
-    ALPHA, ATTEMPTS_SQL, BETA, CORPUS_SQL, GAMMA, PROVIDERS_SQL, STOP_SQL, STORE_SQL, attempts,
+    ALPHA, ATTEMPTS_SQL, BETA, CORPUS_SQL, GAMMA, PROVIDERS_SQL, STOP_SQL, STORE_SQL, VECTORS_SQL, attempts,
     corpus, docs, labelled, providers, query, stop_words, store, table, vectors,
 )
 from .q_functions import PAYLOAD_SQL, payload_rows, wide
+from .q_topics import INFO_SQL, info
 
 CORPUS_TYPES = (
     "url string, content string, lang string, source string, year int, n_chars bigint, doc_id bigint"
@@ -52,11 +53,21 @@ def s03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(corpora.read_docs_parquet(spark, path))
 
 
-@query("s04_format_precedence", DIGEST_SQL)
+@query(
+    "s04_format_precedence",
+    f"SELECT 'both' AS present, * FROM ({DIGEST_SQL}) UNION ALL SELECT 'csv' AS present, * FROM ({DIGEST_SQL})",
+)
 def s04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = work_dir(spark, "formats")
-    sinks.write_docs_csv(corpus(spark, sf_dir), f"{root}/all_docs.csv")
-    return _digest(corpora.read_docs(spark, root, schema=CORPUS_TYPES))
+    """A folder with both formats, whose CSV is out of date, and one with CSV alone."""
+    both, alone = work_dir(spark, "formats"), work_dir(spark, "formats")
+    rows = corpus(spark, sf_dir)
+    sinks.write_docs_parquet(rows, f"{both}/all_docs.parquet")
+    sinks.write_docs_csv(rows.withColumn("content", F.lit("out of date")), f"{both}/all_docs.csv")
+    sinks.write_docs_csv(rows, f"{alone}/all_docs.csv")
+    read = lambda root, name: _digest(corpora.read_docs(spark, root, schema=CORPUS_TYPES)).select(
+        F.lit(name).alias("present"), "*"
+    )
+    return read(both, "both").unionByName(read(alone, "csv"))
 
 
 @query("s05_latest_snapshot", "SELECT doc_id, lang FROM documents")
@@ -127,7 +138,7 @@ def s09(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "s10_vectors_from_docs",
     f"""SELECT provider, doc_id, CAST(len(embedding) AS BIGINT) AS dim FROM ({STORE_SQL})
-        WHERE provider IN ('{ALPHA}', '{BETA}') AND doc_id IN (SELECT doc_id FROM documents)""",
+        WHERE doc_id IN (SELECT doc_id FROM documents)""",
 )
 def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stores.unpivot_wide(wide(spark, sf_dir), "doc_id")
@@ -274,16 +285,18 @@ def k04(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "k05_docs_with_vectors",
-    f"""SELECT c.url, a.doc_id IS NOT NULL AS has_alpha, b.doc_id IS NOT NULL AS has_beta FROM ({CORPUS_SQL}) c
+    f"""SELECT c.url, a.doc_id IS NOT NULL AS has_alpha, b.doc_id IS NOT NULL AS has_beta,
+               g.doc_id IS NOT NULL AS has_gamma FROM ({CORPUS_SQL}) c
         LEFT JOIN (SELECT doc_id FROM ({STORE_SQL}) WHERE provider = '{ALPHA}') a USING (doc_id)
-        LEFT JOIN (SELECT doc_id FROM ({STORE_SQL}) WHERE provider = '{BETA}') b USING (doc_id)""",
+        LEFT JOIN (SELECT doc_id FROM ({STORE_SQL}) WHERE provider = '{BETA}') b USING (doc_id)
+        LEFT JOIN (SELECT doc_id FROM ({STORE_SQL}) WHERE provider = '{GAMMA}') g USING (doc_id)""",
 )
 def k05(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "wide")
     sinks.write_docs_parquet(wide(spark, sf_dir), path)
     has = lambda p: F.col(f"`embeddings_{p}`").isNotNull()
     return spark.read.parquet(path).select(
-        "url", has(ALPHA).alias("has_alpha"), has(BETA).alias("has_beta")
+        "url", has(ALPHA).alias("has_alpha"), has(BETA).alias("has_beta"), has(GAMMA).alias("has_gamma")
     )
 
 
@@ -362,15 +375,21 @@ def k09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "k10_topic_csv",
-    "SELECT CAST(label AS BIGINT) AS topic, count(*) AS count FROM embeddings GROUP BY label",
+    f"""WITH info AS ({INFO_SQL})
+        SELECT d.doc_id, i.topic, i.count, i.name, i.representation FROM documents d
+        JOIN ({VECTORS_SQL}) v USING (doc_id) JOIN info i ON i.topic = v.topic""",
 )
 def k10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frequency = topics.topic_frequency(vectors(spark, sf_dir))
-    named = frequency.withColumn("representation", F.array(F.lit("a"), F.lit("b")))
-    path = work_dir(spark, "topic-csv")
-    sinks.write_topic_csv(named, path)
-    back = corpora.read_csv(spark, path, "topic bigint, count bigint, representation string")
-    return back.filter(F.col("representation") == "a, b").select("topic", "count")
+    """The topic table and the documents with their topic, as CSV and read back."""
+    table_path, docs_path = work_dir(spark, "topic-csv"), work_dir(spark, "topic-docs-csv")
+    columns = ["topic", "count", "name", "representation"]
+    sinks.write_topic_csv(info(spark, sf_dir).select(*columns), table_path)
+    placed = docs(spark, sf_dir).select("doc_id").join(vectors(spark, sf_dir).select("doc_id", "topic"), "doc_id")
+    sinks.write_docs_csv(placed, docs_path)
+    known = corpora.read_csv(spark, table_path, "topic bigint, count bigint, name string, representation string")
+    return corpora.read_csv(spark, docs_path, "doc_id bigint, topic bigint").join(known, "topic").select(
+        "doc_id", *columns
+    )
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import embed
 from ..session import work_dir
@@ -14,32 +16,38 @@ LOG_TYPES = (
 )
 
 
-def log_stream(spark: SparkSession, sf_dir: str, parts: int = 4) -> DataFrame:
-    """The request log as a stream of files in time order, one part of the log per micro-batch."""
-    path, rows = work_dir(spark, "log"), log(spark, sf_dir)
-    first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
-    width = (last - first) // parts + 1
-    files = spark.sparkContext.defaultParallelism
-    for i in range(parts):
-        since = first + i * width
-        part = rows.filter(F.unix_micros("ts").between(since, since + width - 1))
-        part.repartition(files).write.mode("append").parquet(path)
-    return spark.readStream.schema(LOG_TYPES).option("maxFilesPerTrigger", files).parquet(path)
-
-
-def run(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Write a stream to files until its input is read, and return what it wrote."""
-    spark = stream.sparkSession
-    out, state = work_dir(spark, "out"), work_dir(spark, "state")
-    (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .format("parquet")
-        .start(out)
-        .awaitTermination()
-    )
-    return spark.read.schema(stream.schema).parquet(out)
+PARTS = 4
+
+
+def replay(spark: SparkSession, sf_dir: str, transform: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """The request log in ``PARTS`` arrivals in time order, through ``transform``, as a keyed table.
+
+    Every arrival is a part of the log that is written down, and a run of the query that goes on
+    from the checkpoint of the one before. Updates of a key replace what earlier batches said of
+    it, so windows that are still open at the end are in the table as well.
+    """
+    staged, incoming, out, state = (work_dir(spark, x) for x in ("staged", "log", "out", "state"))
+    rows = log(spark, sf_dir)
+    span = rows.agg(F.min(F.unix_micros("ts")).alias("a"), F.max(F.unix_micros("ts")).alias("b")).first()
+    if span["a"] is None:
+        return spark.createDataFrame([], transform(rows).schema)
+    width = (span["b"] - span["a"]) // PARTS + 1
+    part = F.floor((F.unix_micros("ts") - span["a"]) / width).alias("part")
+    rows.select("*", part).write.partitionBy("part").parquet(staged)
+    schema = None
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    for i in range(PARTS):
+        spark.read.schema(LOG_TYPES).parquet(f"{staged}/part={i}").write.mode("append").parquet(incoming)
+        changed = transform(spark.readStream.schema(LOG_TYPES).parquet(incoming))
+        schema = changed.schema
+        changed.writeStream.outputMode("update").option("checkpointLocation", state).trigger(
+            availableNow=True
+        ).foreachBatch(keep).start().awaitTermination()
+    written = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
+    return written.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "batch").alias("last")).select("last.*")
 
 
 @query(
@@ -63,87 +71,55 @@ def t01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("doc_id").agg(F.max_by("status", "batch").alias("status"))
 
 
-def closed_sql(seconds: int, where: str) -> str:
-    """Counts per window that the watermark has passed.
-
-    It runs ten minutes behind the newest row that meets the condition, because Spark
-    filters before it takes the event time.
-    """
+def windows_sql(seconds: int, where: str, slide: int | None = None) -> str:
+    """Counts of all windows: what a batch over the whole log gives."""
+    slide = slide or seconds
     return f"""
-    SELECT provider, start, n FROM (
-      SELECT provider, start, count(*) AS n
-      FROM (SELECT provider, epoch_us(ts) // {seconds * 1_000_000} * {seconds} AS start
-            FROM ({LOG_SQL}) WHERE {where}) GROUP BY ALL)
-    WHERE (start + {seconds}) * 1000000 <= (SELECT epoch_us(max(ts)) - 600000000 FROM ({LOG_SQL}) WHERE {where})"""
-
-
-T02_SQL = closed_sql(30, "http_status < 400")
-T03_SQL = closed_sql(86_400, "true")
+    SELECT provider, start, count(*) AS n FROM (
+      SELECT provider, unnest([epoch_us(ts) // {slide * 1_000_000} * {slide} - {slide} * i FOR i IN range({seconds // slide})]) AS start
+      FROM ({LOG_SQL}) WHERE {where}) GROUP BY ALL"""
 
 
 @query(
     "t02_progress_rate",
-    f"SELECT provider, start, n AS items, round(n / 30, 6) AS items_per_s FROM ({T02_SQL})",
+    f"SELECT provider, start, n AS items, round(n / 30, 6) AS items_per_s FROM ({windows_sql(30, 'http_status < 400')})",
 )
 def t02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = run(streams.progress_rate(log_stream(spark, sf_dir)))
+    rows = replay(spark, sf_dir, streams.progress_rate, ["provider", "start"])
     return rows.select(
         "provider", F.unix_seconds("start").alias("start"), "items",
         F.round("items_per_s", 6).alias("items_per_s"),
     )
 
 
+def quota(spark: SparkSession, sf_dir: str, slide: str | None = None) -> DataFrame:
+    rows = replay(spark, sf_dir, lambda s: streams.quota_use(s, 70, "1 day", slide), ["provider", "start"])
+    return rows.withColumn("start", F.unix_seconds("start"))
+
+
 @query(
     "t03_quota_use",
-    f"SELECT provider, start, n AS requests, n > 70 * 0.95 AS over FROM ({T03_SQL})",
+    f"SELECT provider, start, n AS requests, n > 70 * 0.95 AS over FROM ({windows_sql(86_400, 'true')})",
 )
 def t03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = run(streams.quota_use(log_stream(spark, sf_dir), 70, "1 day"))
-    return rows.withColumn("start", F.unix_seconds("start"))
+    return quota(spark, sf_dir)
 
 
-@query("t03_sliding_quota")
+@query(
+    "t03_sliding_quota",
+    f"SELECT provider, start, n AS requests, n > 70 * 0.95 AS over FROM ({windows_sql(86_400, 'true', 21_600)})",
+)
 def t03_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = run(streams.quota_use(log_stream(spark, sf_dir), 70, "1 day", "6 hours"))
-    return rows.withColumn("start", F.unix_seconds("start"))
-
-
-LIMITS = {"minute": 2, "hour": 3, "day": 50}
-
-
-# One decision after the other: a recursion over each platform's requests in order.
-BUCKET_SQL = f"""
-WITH RECURSIVE l AS (
-  SELECT event_id, provider, epoch_us(ts) AS us, row_number() OVER (PARTITION BY provider ORDER BY ts, event_id) AS i
-  FROM ({LOG_SQL})),
-walk AS (
-  SELECT provider, event_id, i, us, true AS granted, 1.9::DOUBLE - 1 AS a, 2.8499999999999996::DOUBLE - 1 AS b, 47.5::DOUBLE - 1 AS c
-  FROM l WHERE i = 1
-  UNION ALL
-  SELECT provider, event_id, i, us, g, CASE WHEN g THEN a - 1 ELSE a END, CASE WHEN g THEN b - 1 ELSE b END,
-         CASE WHEN g THEN c - 1 ELSE c END
-  FROM (SELECT *, a >= 1 AND b >= 1 AND c >= 1 AS g FROM (
-    SELECT l.provider, l.event_id, l.i, l.us,
-           least(1.9, a + (l.us - w.us) / 1e6 * (1.9 / 60)) AS a,
-           least(2.8499999999999996, b + (l.us - w.us) / 1e6 * (2.8499999999999996 / 3600)) AS b,
-           least(47.5, c + (l.us - w.us) / 1e6 * (47.5 / 86400)) AS c
-    FROM walk w JOIN l ON l.provider = w.provider AND l.i = w.i + 1)))
-SELECT event_id, provider, granted FROM walk"""
+    return quota(spark, sf_dir, "6 hours")
 
 
-@query("t04_token_bucket", BUCKET_SQL)
-def t04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streams.token_bucket_batch(log(spark, sf_dir), LIMITS)
-
-
-@query("t04_token_bucket_stream", BUCKET_SQL)
-def t04_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(streams.token_bucket_stream(log_stream(spark, sf_dir), LIMITS))
-
-
-@query("t05_first_results", "SELECT event_type AS provider, user_id AS doc_id, count(*) > 0 AS found FROM events GROUP BY ALL")
+@query(
+    "t05_first_results",
+    "SELECT event_type AS provider, user_id AS doc_id, 1::BIGINT AS n FROM events GROUP BY ALL",
+)
 def t05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Within a watermark wider than the log, every (provider, doc) comes out once."""
-    rows = run(streams.first_results(log_stream(spark, sf_dir), "60 days"))
-    once = rows.groupBy("provider", "doc_id").agg(F.count("*").alias("n"))
-    return once.select("provider", "doc_id", (F.col("n") == 1).alias("found"))
+    """Within a watermark wider than the log every (provider, doc) comes out once, restarts or not."""
+    rows = replay(
+        spark, sf_dir, lambda s: streams.first_results(s, "60 days").select("provider", "doc_id", "event_id"), ["event_id"]
+    )
+    return rows.groupBy("provider", "doc_id").agg(F.count("*").alias("n"))

@@ -150,8 +150,9 @@ def w04(spark: SparkSession, sf_dir: str) -> DataFrame:
 LABEL_TERMS_SQL = f"""
 stop AS ({STOP_SQL}), stops AS (SELECT list(word) AS sw FROM stop),
 labelled AS ({LABELLED_SQL}),
-grams AS (SELECT doc_id, topic, unnest([w FOR w IN {TOKENS_SQL} IF NOT list_contains(sw, w)]) AS term
-          FROM labelled, stops),
+cut AS (SELECT doc_id, topic, [w FOR w IN {TOKENS_SQL} IF NOT list_contains(sw, w)] AS t FROM labelled, stops),
+grams AS (SELECT doc_id, topic, unnest(t || [t[i] || ' ' || t[i+1] FOR i IN range(1, len(t))]
+                 || [t[i] || ' ' || t[i+1] || ' ' || t[i+2] FOR i IN range(1, len(t) - 1)]) AS term FROM cut),
 vocab AS (SELECT term, count(*) AS f FROM grams GROUP BY term HAVING count(DISTINCT doc_id) >= 6
           ORDER BY f DESC, term LIMIT 100000),
 tfs AS (SELECT topic, term, count(*) AS tf FROM grams SEMI JOIN vocab USING (term) GROUP BY ALL),
@@ -166,9 +167,9 @@ reps AS (SELECT * FROM ({REPRESENTATIVE_SQL}) WHERE rank <= 3)"""
 
 
 def label_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranked single words per label, as the model's description step gives them."""
+    """Ranked terms per label, as the model's description step gives them."""
     rows = labelled(spark, sf_dir)
-    model = TopicModel(stop_words=stop_words(spark, sf_dir), ngrams=1)
+    model = TopicModel(stop_words=stop_words(spark, sf_dir))
     return model.terms(rows, rows)["topic_terms"]
 
 

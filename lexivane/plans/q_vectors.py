@@ -218,7 +218,7 @@ def model(spark: SparkSession, sf_dir: str, **how) -> topicmodel.TopicModel:
     def cluster(reduced: DataFrame) -> DataFrame:
         return density.centre_clusters(reduced, 8)
 
-    settings = {"cluster": cluster, "stop_words": stop_words(spark, sf_dir), "ngrams": 1, **how}
+    settings = {"cluster": cluster, "stop_words": stop_words(spark, sf_dir), **how}
     return topicmodel.TopicModel(**settings)
 
 

@@ -80,13 +80,13 @@ def read_docs(
 def latest_snapshot(spark: SparkSession, directory: str, pattern: str) -> str:
     """Path of the snapshot folder with the newest file, of those that match ``pattern``.
 
-    Only file metadata is read. One row comes back whatever the number of files.
+    Files are listed, not opened: one row per file, and one row comes back.
     """
     found = (
-        spark.read.parquet(f"{directory}/{pattern}")
+        spark.read.format("binaryFile").load(f"{directory}/{pattern}")
         .select(
-            F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
-            F.col("_metadata.file_modification_time").alias("modified"),
+            F.regexp_replace("path", "/[^/]*$", "").alias("folder"),
+            F.col("modificationTime").alias("modified"),
         )
         .groupBy("folder")
         .agg(F.max("modified").alias("modified"))

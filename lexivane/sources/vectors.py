@@ -61,7 +61,7 @@ def unpivot_wide(docs: DataFrame, key: str = "url") -> DataFrame:
         raise ValueError("no embedding columns")
     rows = docs.unpivot(key, [f"`{c}`" for c in columns], "provider", "embedding")
     return rows.filter(F.col("embedding").isNotNull()).select(
-        F.substring("provider", len(VECTOR_PREFIX) + 1, 1_000).alias("provider"),
+        F.expr(f"substring(provider, {len(VECTOR_PREFIX) + 1})").alias("provider"),
         F.col(key).alias("doc_id"),
         "embedding",
     )

@@ -1,22 +1,15 @@
-"""Structured Streaming: incremental embedding, rates, quotas, token buckets, deduplication."""
+"""Structured Streaming: incremental embedding, rates, quotas, deduplication."""
 
 from __future__ import annotations
 
-from typing import Any, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.coverage import work_list
 from ..operators.embed import Embedder, embed_docs
 
 SAFETY_MARGIN = 0.95
 
-# Window lengths in seconds by the name of their limit.
-WINDOW_SECONDS = {"minute": 60, "hour": 3600, "day": 86_400, "month": 2_592_000}
-
 
 def incremental_embedding(
     spark: SparkSession, source: str, schema: T.StructType, store: str, checkpoint: str,
@@ -37,7 +30,9 @@ def incremental_embedding(
         done = stored.filter(
             (F.col("provider") == provider) & (F.col("batch") != number) & (F.col("status") == "ok")
         )
-        todo = work_list(batch.dropDuplicates(["doc_id"]), done)
+        # of texts that share an id in one batch, the first in text order counts
+        first = batch.groupBy("doc_id").agg(F.min("text").alias("text"))
+        todo = work_list(first, done)
         result = embed_docs(todo, embedder)
         result.select(
             "doc_id", F.col("embedding").cast("array<float>"), "status", "error"
@@ -96,83 +91,3 @@ def quota_use(
 def first_results(results: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """One result per (provider, doc) within the watermark."""
     return results.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["provider", "doc_id"])
-
-
-class Buckets:
-    """Token buckets of one limiter: all must have a token for a request to pass."""
-
-    def __init__(self, limits: dict[str, int], margin: float = SAFETY_MARGIN):
-        self.capacity = [n * margin for n in limits.values()]
-        self.refill = [n * margin / WINDOW_SECONDS[w] for w, n in limits.items()]
-
-    def replay(self, micros: list[int], last: int | None, tokens: list[float]):
-        """Grant or refuse each time in order; returns the decisions and the new state."""
-        granted = []
-        for now in micros:
-            if last is not None:
-                elapsed = max(now - last, 0) / 1e6
-                tokens = [min(c, t + elapsed * r) for c, t, r in zip(self.capacity, tokens, self.refill)]
-            last = now if last is None else max(now, last)
-            passed = all(t >= 1.0 for t in tokens)
-            if passed:
-                tokens = [t - 1.0 for t in tokens]
-            granted.append(passed)
-        return granted, last, tokens
-
-
-def token_bucket_stream(
-    requests: DataFrame, limits: dict[str, int], key: str = "provider", row: str = "event_id",
-    margin: float = SAFETY_MARGIN,
-) -> DataFrame:
-    """(key, row, granted): replay of a limiter per platform in event time.
-
-    A limiter decides one request after the other, so the rows of one platform pass
-    through one task in turn. Its state is one number per window, and only key, time and
-    id travel.
-    """
-    buckets = Buckets(limits, margin)
-    slim = requests.select(key, row, F.unix_micros("ts").alias("us"))
-    key_type, row_type = slim.schema[key].dataType, slim.schema[row].dataType
-
-    def step(group: Any, chunks: Iterator[pd.DataFrame], state: GroupState):
-        last, tokens = state.get if state.exists else (None, buckets.capacity)
-        rows = pd.concat(list(chunks)).sort_values(["us", row])
-        granted, last, tokens = buckets.replay(rows["us"].tolist(), last, list(tokens))
-        state.update((last, tokens))
-        yield pd.DataFrame({key: group[0], row: rows[row].to_numpy(), "granted": granted})
-
-    return slim.groupBy(key).applyInPandasWithState(
-        step,
-        f"{key} {key_type.simpleString()}, {row} {row_type.simpleString()}, granted boolean",
-        "last bigint, tokens array<double>",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-
-
-def token_bucket_batch(
-    requests: DataFrame, limits: dict[str, int], key: str = "provider", row: str = "event_id",
-    margin: float = SAFETY_MARGIN,
-) -> DataFrame:
-    """The same replay over a finished log.
-
-    Rows are ordered by a distributed sort per platform and streamed through the task in
-    Arrow batches; a task holds one batch and the bucket levels, not the platform.
-    """
-    buckets = Buckets(limits, margin)
-    slim = requests.select(key, row, F.unix_micros("ts").alias("us"))
-    key_type, row_type = slim.schema[key].dataType, slim.schema[row].dataType
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        owner, last, tokens = None, None, None
-        for pdf in batches:
-            for group, rows in pdf.groupby(key, sort=False):
-                if group != owner:
-                    owner, last, tokens = group, None, list(buckets.capacity)
-                granted, last, tokens = buckets.replay(rows["us"].tolist(), last, tokens)
-                yield pd.DataFrame({key: group, row: rows[row].to_numpy(), "granted": granted})
-
-    ordered = slim.repartition(key).sortWithinPartitions(key, "us", row)
-    return ordered.mapInPandas(
-        run, f"{key} {key_type.simpleString()}, {row} {row_type.simpleString()}, granted boolean"
-    )

@@ -1,3 +1,5 @@
+import re
+
 import math
 from urllib.parse import quote
 
@@ -117,3 +119,26 @@ def test_rates_with_nothing_sent(spark):
     assert one(spark, rates.success_rate(zero, zero), a=1) == 0.0
     assert one(spark, rates.report_rate(zero, zero, zero), a=1) == 100.0
     assert one(spark, rates.success_rate(F.lit(2), F.lit(3)), a=1) == 66.67
+
+
+def test_token_chunks_add_up_to_the_text(spark):
+    t = "\u00bf... El rey D. Juan, y a sus hijos: \u00abOath\u00bb o no. a b c\n"
+    for limit in (1, 2, 3, 100):
+        chunks = one(spark, text.token_chunks("t", limit), t=t)
+        assert "".join(chunks) == t
+        assert all(len(re.findall(r"\w{2,}", c)) <= limit for c in chunks)
+    assert one(spark, text.token_chunks("t", 4), t="a b c") == ["a b c"]
+    assert one(spark, text.token_chunks("t", 4), t="") == []
+
+
+def test_stop_words_do_not_depend_on_the_size_of_the_list(spark, monkeypatch):
+    rows = [(1, ["a", "b", "a"], "x"), (1, None, "y"), (2, [], "x"), (2, ["b", None, "c"], "z"), (None, ["c"], "x")]
+    df = spark.createDataFrame(rows, "k int, words array<string>, other string")
+    stop = spark.createDataFrame([("a",), ("q",)], "word string")
+    short = text.drop_stop_words(df, "words", stop, "k")
+    monkeypatch.setattr(text, "MAX_STOP_WORDS", 1)
+    long = text.drop_stop_words(df, "words", stop, "k")
+    key = lambda r: str(tuple(r))
+    clean = [tuple(r[:1]) + ([w for w in r[1] if w] if r[1] is not None else None,) + tuple(r[2:]) for r in short.collect()]
+    assert sorted(clean, key=str) == sorted([tuple(r) for r in long.collect()], key=str)
+    assert sorted(long.collect(), key=key)[0].asDict().keys() == {"k", "words", "other"}

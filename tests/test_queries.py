@@ -3,17 +3,12 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lexivane import plans
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
-# A quick cross-section; LEXIVANE_ALL=1 runs every query.
-QUICK = """coverage_by_language p03_min_tokens p13_metadata f03_token_chunks f05_pool_chunks s01_corpus_csv
-s07_pages k12_delivery_batches j02_providers_as_columns j05_work_list j11_snapshot_diff a01_provider_statistics
-a04_failure_classes w07_trailing_requests w09_throttle_runs w01_top_words w05_tuned_over_time j13_nearest_neighbours
-m08_probabilities m18_embed_documents t04_token_bucket""".split()
-
-NAMES = list(queries()) if os.environ.get("LEXIVANE_ALL") else QUICK
+NAMES = list(plans.QUERIES)
 
 
 @pytest.fixture(scope="module")

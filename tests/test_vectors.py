@@ -146,3 +146,22 @@ def test_window_distribution_rows_add_to_one(spark):
     rows = shares.groupBy("doc_id").agg(F.sum("probability").alias("s")).collect()
     assert {r.doc_id for r in rows} == {1, 2} and all(r.s == pytest.approx(1) for r in rows)
     assert by_token.filter("doc_id = 2").count() == 1
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_bad_vectors_change_nothing(spark, metric):
+    rng = np.random.default_rng(2)
+    good = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    nan, inf = float("nan"), float("inf")
+    bad = [(1000 + i, [nan] + v[1:]) for i, v in good[:60]]
+    bad += [(2000, None), (2001, []), (2002, [1.0, 2.0]), (2003, [inf] * 6), (2004, [None] + good[0][1][1:])]
+    schema = "doc_id long, embedding array<double>"
+    base = spark.createDataFrame(good + bad, schema)
+    want = neighbours.knn(spark.createDataFrame(good, schema), spark.createDataFrame(good, schema), 4, metric)
+    rows = lambda df: sorted((r.id, r.rank, r.neighbour) for r in df.collect())
+    sent = neighbours.knn(base, base, 4, metric)
+    cells = neighbours.knn(base, base, 4, metric, broadcast_bytes=0, chunk_rows=32)
+    assert rows(sent) == rows(cells) == rows(want)
+    reasons = {r.doc_id: r.reason for r in neighbours.rejected(base, metric=metric).collect()}
+    assert set(reasons) == {i for i, _ in bad}
+    assert (reasons[1000], reasons[2002], reasons[2003], reasons[2004]) == ("not a number", "dimension", "infinite", "null element")
