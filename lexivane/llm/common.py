@@ -100,6 +100,17 @@ def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa
         yield pa.Table.from_batches(held)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of rows with about ``size`` bytes of text, a row at least."""
+    for batch in batches:
+        lens = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = (np.cumsum(lens, dtype=np.int64) - lens) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if j > i:
+                yield batch.slice(i, j - i)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.components import connected_components
 from ..session import durable
 from .common import (
-    chain, drop_tables, groups_of, hash_words, mix, partitions, query, table, words_of,
+    chain, drop_tables, groups_of, hash_words, mix, partitions, query, slices, table, words_of,
 )
 
 PERMUTATIONS = 64
@@ -84,7 +84,7 @@ def signatures(docs: DataFrame, size: int, key: str = "doc_id", text: str = "tex
     """(key, n_shingles, node, bands): the node is a 128-bit hash of the set, null if empty."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             sets = shingle_sets(batch.column(1), size)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, size: int, key: str = "doc_id", text: str = "tex
 
 def _sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             sets = shingle_sets(batch.column(1), size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -279,8 +279,7 @@ def near_duplicates(
     )
     rows = durable(_met(buckets, multi).select("bucket", "band", "node"))
     asked = nodes.join(rows.select("node").distinct(), "node", "left_semi").select(F.col("rep").alias(key))
-    sets = durable(_sets(docs.select(key, text).join(asked.distinct(), key, "left_semi"), shingle, key, text)
-                   .dropDuplicates(["node"]))
+    sets = durable(_sets(docs.select(key, text).join(asked.distinct(), key, "left_semi"), shingle, key, text))
     first = durable(_first_links(rows.filter(F.col("band") < FIRST_BANDS).select("bucket", "node"), sets, percent))
     labels = connected_components(first)
     later = durable(_later_links(rows.select("bucket", "node"), labels, sets, percent))
