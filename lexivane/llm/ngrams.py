@@ -18,6 +18,7 @@ words by 32, which blurs counts where two followers of one context collide.
 from __future__ import annotations
 
 import gc
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,14 +27,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import durable
-from .common import chain, groups_of, hash_words, mix, partitions, query, remainder, table, words_of
+from ..session import durable, work_dir
+from .common import chain, groups_of, hash_words, partitions, query, remainder, table, words_of
 from .eliasfano import EliasFano, Trie, logarithm, quantise
 
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 DISCOUNT = 0.75
 ADDED = 0.1
-END, BEGIN = 1, 2  # hashes of the marks around a text
+END, BEGIN = 1, 2  # hashes of the marks around a text, below those of all words
 W_BITS = 24
 
 
@@ -45,27 +46,32 @@ def _open(blob: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(blob), kind)
 
 
+def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
+    """Hashes fall into ranges of equal width, so what is sorted by hash is sorted by shard."""
+    return (((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
 class Block:
-    """Coded texts: tokens are places in ``hashes``, each text ends with the end mark."""
+    """Coded texts: tokens are places in ``hashes``, which ascend; each text ends with the end mark.
+
+    The first two hashes are those of the marks, so codes ascend with hashes.
+    """
 
     def __init__(self, row: dict):
         self.id = row["block"]
         self.keys, self.held = row["keys"], np.array(row["held"], bool)
         self.lens = np.frombuffer(row["lens"], "<i8")
         self.codes = _open(row["codes"], "<i4")
-        self.hashes = np.frombuffer(row["hashes"], "<u8")
+        self.hashes = EliasFano.frombytes(row["hashes"]).values()
         self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
         self.trained = ~self.held[self.doc]
 
     def before(self, codes: np.ndarray) -> np.ndarray:
         """The token before each one; the begin mark before the first of a text."""
-        out = np.concatenate([[len(self.hashes)], codes[:-1]])
-        out[np.cumsum(self.lens) - self.lens] = len(self.hashes)
+        out = np.concatenate([[1], codes[:-1]])
+        out[np.cumsum(self.lens) - self.lens] = 1
         return out
 
-    def hash_of(self, codes: np.ndarray) -> np.ndarray:
-        return np.append(self.hashes, np.uint64(BEGIN))[codes]
-
 
 def read_blocks(docs: DataFrame, held: Column, key: str, text: str) -> DataFrame:
     """(block, keys, held, lens, codes, hashes, trained, begun), a row for each block of texts."""
@@ -79,12 +85,16 @@ def read_blocks(docs: DataFrame, held: Column, key: str, text: str) -> DataFrame
                 rows = np.flatnonzero(part == p)
                 one = batch.slice(int(rows[0]), len(rows))
                 lens, codes, words = words_of(one.column(2))
-                hashes = np.append(hash_words(words), np.uint64(END))
+                found = np.maximum(hash_words(words), np.uint64(BEGIN + 1))
+                order = np.argsort(found)
+                hashes = np.concatenate([np.array([END, BEGIN], np.uint64), found[order]])
+                name = np.empty(len(order), "<i4")
+                name[order] = np.arange(2, len(order) + 2)
                 ends = np.cumsum(lens + 1) - 1
-                whole = np.full(int(lens.sum()) + len(lens), len(words), "<i4")
+                whole = np.zeros(int(lens.sum()) + len(lens), "<i4")
                 inner = np.ones(len(whole), bool)
                 inner[ends] = False
-                whole[inner] = codes
+                whole[inner] = name[codes]
                 apart = np.array(one.column(1).to_pylist(), bool)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -93,7 +103,7 @@ def read_blocks(docs: DataFrame, held: Column, key: str, text: str) -> DataFrame
                         pa.array([apart.tolist()], pa.list_(pa.bool_())),
                         pa.array([(lens + 1).astype("<i8").tobytes()], pa.binary()),
                         pa.array([_pack(whole)], pa.binary()),
-                        pa.array([hashes.astype("<u8").tobytes()], pa.binary()),
+                        pa.array([EliasFano.of(hashes).tobytes()], pa.binary()),
                         pa.array([int((lens + 1)[~apart].sum())], pa.int64()),
                         pa.array([int((~apart).sum())], pa.int64()),
                     ],
@@ -157,9 +167,8 @@ def counted(blocks: DataFrame, pick: Callable, shards: int, hot_over: float) ->
     """
 
     def ask(block, row):
-        order, keys, counts, tags = pick_in_order(block, row, pick, shards)
-        shard = (mix(keys) % np.uint64(shards)).astype(np.int64)
-        return shard, lambda at: [EliasFano.of(keys[at]).tobytes(), _pack(counts[at].astype("<u4")), _pack(tags[at].astype("<u2"))]
+        _, keys, counts, tags = pick_in_order(block, row, pick)
+        return shard_of(keys, shards), lambda at: [EliasFano.of(keys[at]).tobytes(), _pack(counts[at].astype("<u4")), _pack(tags[at].astype("<u2"))]
 
     def answer(batches):
         for g in groups_of(batches, ["shard"]):
@@ -190,10 +199,10 @@ def counted(blocks: DataFrame, pick: Callable, shards: int, hot_over: float) ->
     ))
 
 
-def pick_in_order(block: Block, row: dict, pick: Callable, shards: int):
-    """What ``pick`` finds, by shard and key: the order in which it is asked and answered."""
+def pick_in_order(block: Block, row: dict, pick: Callable):
+    """What ``pick`` finds, by key: the order in which it is asked and answered."""
     keys, counts, tags = pick(block, row)
-    order = np.lexsort((keys, mix(keys) % np.uint64(shards)))
+    order = np.argsort(keys)
     return order, keys[order], counts[order], tags[order]
 
 
@@ -228,29 +237,32 @@ class Model:
     def pairs(self, block: Block, row: dict):
         """Distinct pairs after frequent words: keys, training counts, the word's number."""
         _, own, counts, rank = self.pair_codes(block)
-        v, w = own // (len(block.hashes) + 1), own % (len(block.hashes) + 1)
-        return chain(block.hash_of(v), block.hash_of(w)), counts, rank
+        v, w = own // len(block.hashes), own % len(block.hashes)
+        return chain(block.hashes[v], block.hashes[w]), counts, rank
 
     def pair_codes(self, block: Block):
-        size = len(block.hashes) + 1
+        size = len(block.hashes)
         first = block.before(block.codes)
-        rank = self.rank(block.hash_of(first))
+        rank = self.rank(block.hashes)[first]
         code = first.astype(np.int64) * size + block.codes
         own, place = np.unique(code[rank >= 0], return_inverse=True)
         counts = np.bincount(place, block.trained[rank >= 0], len(own)).astype(np.int64)
-        return code, own, counts, self.rank(block.hash_of(own // size))
+        return code, own, counts, self.rank(block.hashes[own // size])
 
     def trigrams(self, block: Block, row: dict):
-        """Distinct trigrams as asked: (shard, v, u, w, counts, lower codes, place of each token)."""
-        size = len(block.hashes) + 1
-        order = np.lexsort((block.hashes, mix(block.hashes) % np.uint64(self.shards)))
-        known = _back(order, _joined(row["a0"] or [], "<u4")).astype(np.float64)
+        """Distinct trigrams as asked: codes, training counts, lower codes, and who is asked.
+
+        They come by middle word, first word and word, in the order of the hashes. Those after
+        frequent words are named after both words and follow in an order of their own.
+        """
+        size = len(block.hashes)
+        known = _joined(row["a0"] or [], "<u4").astype(np.float64)
         base = self.base(known)
         v = block.before(block.codes)
         u = block.before(v)
-        u[np.cumsum(block.lens) - block.lens] = len(block.hashes)
-        second = (np.cumsum(block.lens) - block.lens + 1)[block.lens > 1]
-        u[second] = len(block.hashes)
+        starts = np.cumsum(block.lens) - block.lens
+        u[starts] = 1
+        u[(starts + 1)[block.lens > 1]] = 1
         code = (v.astype(np.uint64) * np.uint64(size) + u.astype(np.uint64)) * np.uint64(size) + block.codes.astype(np.uint64)
         own, place = np.unique(code, return_inverse=True)
         counts = np.bincount(place, block.trained, len(own)).astype(np.int64)
@@ -258,11 +270,11 @@ class Model:
         uv = own // np.uint64(size)
         u, v = (uv % np.uint64(size)).astype(np.int64), (uv // np.uint64(size)).astype(np.int64)
         lower = base[w]
-        vh, uh, wh = block.hash_of(v), block.hash_of(u), block.hash_of(w)
-        rank = self.rank(vh)
-        hot = rank >= 0
-        if hot.any():
-            order, _, _, _ = pick_in_order(block, row, self.pairs, self.shards)
+        rank = self.rank(block.hashes)[v]
+        hot = np.flatnonzero(rank >= 0)
+        context = block.hashes[v]
+        if len(hot):
+            order, _, _, _ = pick_in_order(block, row, self.pairs)
             seen = _back(order, _joined(row["a1"] or [], "<u4")).astype(np.float64)
             _, pair, _, _ = self.pair_codes(block)
             c = seen[np.searchsorted(pair, v[hot] * size + w[hot])]
@@ -270,17 +282,19 @@ class Model:
             share = DISCOUNT * self.follow[rank[hot]] / total
             mixed = np.maximum(c - DISCOUNT, 0) / total + share * lower[hot]
             lower[hot] = np.where(self.total[rank[hot]] > 0, mixed, lower[hot])
-        # the part of a frequent word that its shard holds is named after both words
-        context = np.where(hot, chain(vh, uh), vh)
-        shard = (mix(context) % np.uint64(self.shards)).astype(np.int64)
-        u32, w24 = uh >> np.uint64(32), wh >> np.uint64(64 - W_BITS)
-        order = np.lexsort((w24, u32, context, shard))
-        return order, shard, context, u32, w24, counts, quantise(lower), hot, place, base
+            # a part of a frequent word is named after both words
+            context[hot] = chain(context[hot], block.hashes[u[hot]])
+            hot = hot[np.argsort(context[hot], kind="stable")]
+        order = np.concatenate([np.flatnonzero(rank < 0), hot])
+        shard = shard_of(context[order], self.shards)
+        shard[len(order) - len(hot) :] += self.shards
+        return order, shard, context, u, w, counts, quantise(lower), place, base
 
 
 def _asked(block: Block, row: dict, model: Model):
-    order, shard, context, u, w, counts, lower, hot, _, _ = model.trigrams(block, row)
-    shard, context, u, w, counts, lower, hot = (a[order] for a in (shard, context, u, w, counts, lower, hot))
+    order, shard, context, u, w, counts, lower, _, _ = model.trigrams(block, row)
+    context, counts, lower = context[order], counts[order], lower[order]
+    u, w = block.hashes[u[order]] >> np.uint64(32), block.hashes[w[order]] >> np.uint64(64 - W_BITS)
 
     def columns(at):
         v, un, wn = context[at], u[at], w[at]
@@ -293,7 +307,7 @@ def _asked(block: Block, row: dict, model: Model):
             _pack(np.diff(np.append(np.searchsorted(first_u, first_v), len(first_u))).astype("<u4")),
             un[first_u].astype("<u4").tobytes(),
             _pack(np.diff(np.append(first_u, len(v))).astype("<u4")),
-            three.tobytes(), _pack(counts[at].astype("<u4")), _pack(lower[at]), _pack(hot[at][first_v]),
+            three.tobytes(), _pack(counts[at].astype("<u4")), _pack(lower[at]),
         ]
 
     return shard, columns
@@ -305,13 +319,16 @@ def _received(parts: list[bytes]):
     three = np.frombuffer(parts[4], np.uint8).reshape(-1, 3)
     w = np.zeros((len(three), 4), np.uint8)
     w[:, :3] = three
-    hot = np.repeat(np.repeat(_open(parts[7], bool), nv), nu)
     return (np.repeat(np.repeat(v, nv), nu), np.repeat(un, nu), w.reshape(-1).view("<u4"), _open(parts[5], "<u4"),
-            _open(parts[6], np.uint8), hot)
+            _open(parts[6], np.uint8))
+
 
+def build(v, u, w, c, lower, mixed: bool) -> Trie:
+    """The trie of a shard from the trigrams sent to it.
 
-def build(v, u, w, c, lower, hot) -> tuple[Trie, np.ndarray, np.ndarray]:
-    """The trie of a shard from the trigrams sent to it, and the numbers of their contexts."""
+    ``lower`` are the probabilities to fall back on: of the word alone, or, with ``mixed``, of
+    the word after the middle word, where that is a frequent one of which this is but a part.
+    """
     names, vi = np.unique(v, return_inverse=True)
     contexts, ci = np.unique(vi.astype(np.uint64) << np.uint64(32) | u.astype(np.uint64), return_inverse=True)
     pairs, pi = np.unique(vi.astype(np.uint64) << np.uint64(W_BITS) | w.astype(np.uint64), return_inverse=True)
@@ -321,12 +338,10 @@ def build(v, u, w, c, lower, hot) -> tuple[Trie, np.ndarray, np.ndarray]:
     follow_v = np.bincount(pair_v[count_p > 0], minlength=len(names))
     low = np.zeros(len(pairs), np.uint8)
     low[pi] = lower
-    own_hot = np.zeros(len(names), bool)
-    own_hot[vi] = hot
     p1 = 10.0 ** logarithm(low)
     total = np.maximum(count_v, 1)[pair_v]
     p2 = np.maximum(count_p - DISCOUNT, 0) / total + (DISCOUNT * follow_v / np.maximum(count_v, 1))[pair_v] * p1
-    p2 = np.where((count_v[pair_v] > 0) & ~own_hot[pair_v], p2, p1)
+    p2 = p1 if mixed else np.where(count_v[pair_v] > 0, p2, p1)
 
     first = np.searchsorted(pairs, np.arange(len(names) + 1).astype(np.uint64) << np.uint64(W_BITS))
     rank = pi - first[vi]
@@ -366,19 +381,31 @@ def look_up(trie: Trie, v, u, w) -> np.ndarray:
     return quantise(10.0 ** np.where(node >= 0, own, less))
 
 
-def _answered(batches):
+def _answered(batches, shards: int):
     for g in groups_of(batches, ["shard"]):
         shard, owners = g.column("shard")[0].as_py(), g.column("block").to_pylist()
         parts = [_received(p) for p in g.column("parts").to_pylist()]
-        trie = build(*(np.concatenate([p[i] for p in parts]) for i in range(6)))
+        cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
+        v, u, w, c, lower = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        del parts
+        trie = build(v, u, w, c, lower, shard >= shards)
         try:
-            for block, (v, u, w, *_) in zip(owners, parts):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), pa.array([shard], pa.int32()), pa.array([_pack(look_up(trie, v, u, w))], pa.binary())],
-                    ["block", "shard", "blob"],
-                )
+            codes = look_up(trie, v, u, w)
         finally:
             trie.drop()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(owners, pa.int64()), pa.array([shard] * len(owners), pa.int32()),
+             pa.array([_pack(codes[i:j]) for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())],
+            ["block", "shard", "blob"],
+        )
+
+
+def _bucketed(blocks: DataFrame) -> DataFrame:
+    """Blocks written down by their number, so answers come to them and they are not shuffled."""
+    spark = blocks.sparkSession
+    name, path = f"blocks_{uuid.uuid4().hex}", work_dir(spark, "blocks")
+    blocks.write.bucketBy(partitions(spark), "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def _free(spark: SparkSession) -> None:
@@ -395,21 +422,21 @@ def scores(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text
     they occur), other columns are ignored. Without any training text every word is new.
     """
     spark = docs.sparkSession
-    blocks = durable(read_blocks(docs, F.coalesce(held, F.lit(False)), key, text))
+    blocks = _bucketed(read_blocks(docs, F.coalesce(held, F.lit(False)), key, text))
     size = blocks.agg(F.count("*").alias("b"), F.sum("trained").alias("t"), F.sum("begun").alias("d")).first()
-    tokens, begun, shards = size["t"] or 0, size["d"] or 0, max(8, size["b"])
-    known = counted(blocks, _words, shards, tokens / (4 * shards))
+    tokens, begun, shards = size["t"] or 0, size["d"] or 0, max(8, -(-size["b"] // 2))
+    known = counted(blocks, _words, shards, tokens / shards)
     kinds = known.filter("tag IS NOT NULL").agg(F.sum("n")).first()[0] or 0
     hot = {r["hot"] % 2**64: r["total"] for r in known.filter("hot IS NOT NULL").select("hot", "total").collect()}
-    model = Model(tokens, kinds, begun, shards, hot)  # at most 4 * shards frequent words
+    model = Model(tokens, kinds, begun, shards, hot)  # fewer frequent words than shards
     after = counted(blocks, model.pairs, shards, float("inf"))
     for r in after.filter("tag IS NOT NULL").groupBy("tag").agg(F.sum("n").alias("n")).collect():
         model.follow[r["tag"]] = r["n"]
     _free(spark)
     asked = _with(blocks, known, after).mapInArrow(
-        lambda b: _sent(b, lambda block, row: _asked(block, row, model), shards), "shard int, block long, parts array<binary>"
+        lambda b: _sent(b, lambda block, row: _asked(block, row, model), 2 * shards), "shard int, block long, parts array<binary>"
     )
-    third = durable(_by_shard(asked).mapInArrow(_answered, "block long, shard int, blob binary"))
+    third = durable(_by_shard(asked).mapInArrow(lambda b: _answered(b, shards), "block long, shard int, blob binary"))
     del asked
     _free(spark)
 
