@@ -158,6 +158,18 @@ def test_language_model(spark, monkeypatch, bytes_a_block):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_language_model_with_a_word_too_frequent_for_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "BLOCK_BYTES", 2_000)
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join("the" if x < 0.3 else f"w{int(x * 60)}" for x in rng.random(40))) for i in range(200)]
+    want = plain_model(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in ngrams.scores(frame, remainder("doc_id", 10) == 0).collect():
+        w = want[r.doc_id]
+        assert r.base_score == pytest.approx(w[4], abs=1e-6) and r.train_tokens == w[3]
+        assert abs(r.score - w[5]) <= 0.05 * r.n_tokens
+
+
 def test_language_model_odd(odd, none):  # noqa: F811
     rows = ngrams.scores(odd, remainder("doc_id", 10) == 0).collect()
     assert len(rows) == len(ODD) and all(r.score <= 0 and r.base_score < 0 for r in rows)
