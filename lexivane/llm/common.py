@@ -36,13 +36,14 @@ def remainder(key: str | Column, n: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % n
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def words_of(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(words per text, code of each word, the distinct words).
 
-    A-Z are lower-cased; words are runs of anything but ASCII white space. Null is empty.
+    A-Z are lower-cased unless told not to; words are runs of anything but ASCII white space.
+    Null is empty.
     """
-    lowered = pc.ascii_lower(pc.fill_null(texts, ""))
-    lists = pc.ascii_split_whitespace(lowered)
+    texts = pc.fill_null(texts, "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     flat = lists.flatten()
     full = pc.not_equal(flat, "")
     mask = np.asarray(full.to_numpy(zero_copy_only=False), dtype=bool)

@@ -10,6 +10,7 @@ then takes the documents of its lengths by their rank.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections import Counter
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import durable
-from .common import query, table
+from .common import query, slices, table, words_of
 
 SEQUENCE = 4096
 GRID = 16
@@ -110,6 +111,22 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def token_ids(texts: pa.Array, model) -> tuple[np.ndarray, np.ndarray]:
+    """(ids per text, ids of all texts) for a tokenizer whose tokens never span white space.
+
+    Each distinct run of other characters is encoded once, which saves most of the work.
+    """
+    lens, codes, words = words_of(texts, lower=False)
+    coded = [e.ids for e in model.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+    size = np.fromiter(map(len, coded), np.int64, len(coded))
+    every = np.fromiter(itertools.chain.from_iterable(coded), np.uint32, int(size.sum()))
+    begin = np.cumsum(size) - size
+    each = size[codes]
+    at = np.repeat(begin[codes] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
+    ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(lens)] if len(lens) else np.zeros(0, np.int64)
+    return np.diff(np.concatenate([[0], ends])), every[at]
+
+
 def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, with_ids: bool = False,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, row, start, length, ids_crc32, doc_tokens[, ids]): full sequences and the rests.
@@ -119,23 +136,21 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, with_ids: bool
 
     def run(batches):
         model = tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches, 2, 8 << 20):
             keys, rows, texts = (batch.column(i) for i in range(3))
             at, start, length, crc, total, kept = [], [], [], [], [], []
-            texts = texts.to_pylist()
-            for first in range(0, len(texts), 256):
-                part = [t or "" for t in texts[first : first + 256]]
-                for k, coded in enumerate(model.encode_batch_fast(part, add_special_tokens=False)):
-                    ids = np.array([*coded.ids, END_ID], "<u4")
-                    for s in range(0, len(ids), sequence):
-                        piece = ids[s : s + sequence]
-                        at.append(first + k)
-                        start.append(s)
-                        length.append(len(piece))
-                        crc.append(zlib.crc32(piece.tobytes()))
-                        total.append(len(ids))
-                        if with_ids:
-                            kept.append(piece.astype(np.int64))
+            sizes, flat = token_ids(texts, model)
+            for k, (n, end) in enumerate(zip(sizes.tolist(), np.cumsum(sizes).tolist())):
+                ids = np.append(flat[end - n : end], np.uint32(END_ID)).astype("<u4")
+                for s in range(0, len(ids), sequence):
+                    piece = ids[s : s + sequence]
+                    at.append(k)
+                    start.append(s)
+                    length.append(len(piece))
+                    crc.append(zlib.crc32(piece.tobytes()))
+                    total.append(len(ids))
+                    if with_ids:
+                        kept.append(piece.astype(np.int64))
             columns = [keys.take(pa.array(at, pa.int64())), rows.take(pa.array(at, pa.int64()))]
             columns += [pa.array(c, pa.int64()) for c in (start, length, crc, total)]
             if with_ids:

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexivane.llm import contamination, minhash, packing, pii, toxicity
@@ -247,6 +248,14 @@ def test_packing(spark):
     assert fill > 0.97
 
 
+def test_token_ids_by_word_equal_those_of_whole_texts():
+    model = packing.tokenizer(packing.word_bpe())
+    texts = ["", "  ", "Don't  stop\u00a0now, caf\u00e9 cafe\u0301 \u0301x \u2028y", "a<|endoftext|>b <|startoftext|> c", "\u03a3\u03a3 \u03a3. \u0130\u1e9e \ufb01",
+             "\U0001f600\U0001f468\u200d\U0001f469 x\x1cy\x0bz\x85w", "1234 5,6", None, "\x00 \x01"] + ["word \n\t ing's"] * 3
+    sizes, flat = packing.token_ids(pa.array(texts, pa.string()), model)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes))[:-1]] == [model.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_plan_is_near_the_bound():
     rng = np.random.default_rng(1)
     counts = {int(n): int(rng.integers(1, 500)) for n in rng.choice(np.arange(1, 257), 60, replace=False)}
