@@ -8,8 +8,9 @@ from ..operators import coverage, delivery, reduce
 from ..session import work_dir
 from ..sources import corpus as corpora, sinks, vectors as stores, wordlists
 from .common import (
-    ALPHA, ATTEMPTS_SQL, BETA, CORPUS_SQL, GAMMA, PROVIDERS_SQL, STOP_SQL, STORE_SQL, VECTORS_SQL, attempts,
-    corpus, docs, labelled, providers, query, stop_words, store, table, vectors,
+    ALPHA, ATTEMPTS_SQL, BETA, CORPUS_SQL, GAMMA, PROVIDERS_SQL, STOP_SQL, STORE_SQL, TOKENS_SQL, VECTORS_SQL,
+    attempts,
+    corpus, docs, labelled, providers, query, stop_words, store, table, texts, vectors,
 )
 from .q_functions import PAYLOAD_SQL, payload_rows, wide
 from .q_topics import INFO_SQL, info
@@ -333,44 +334,105 @@ SELECT provider, total, success, failed, round(100.0 * success / total, 2) AS su
 FROM per_doc JOIN per_request USING (provider)"""
 
 
-@query("k08_statistics_json", STATISTICS_SQL)
+TRIED_SQL = f"SELECT provider, doc_id, bool_or(status = 'ok') AS ok FROM ({ATTEMPTS_SQL}) GROUP BY ALL"
+CLASSES_SQL = f"""
+SELECT count(*) AS total_documents, count(*) FILTER (f = 5) AS critical_failures,
+       count(*) FILTER (f > 0 AND f < 5) AS partial_success, count(*) FILTER (f = 0) AS full_success
+FROM (SELECT doc_id, count(*) FILTER (NOT ok) AS f FROM ({TRIED_SQL}) GROUP BY doc_id)"""
+
+
+@query(
+    "k08_statistics_json",
+    f"""SELECT s.*, c.*, listed FROM ({STATISTICS_SQL}) s
+        LEFT JOIN (SELECT provider, count(*) AS listed FROM ({TRIED_SQL}) WHERE NOT ok GROUP BY provider) l USING (provider)
+        CROSS JOIN ({CLASSES_SQL}) c""",
+)
 def k08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = coverage.provider_statistics(attempts(spark, sf_dir))
+    """The report as one JSON object: time, totals, providers, summary. Failed ids may be any
+    number, so they are a table beside it, a row each."""
+    tried = attempts(spark, sf_dir)
+    stats, failed = coverage.provider_statistics(tried), coverage.failed_docs(tried)
     fields = [c for c in stats.columns if c != "provider"]
     packed = F.map_from_entries(F.collect_list(F.struct("provider", F.struct(*fields))))
-    path = work_dir(spark, "statistics")
-    sinks.write_json_row(stats.agg(packed.alias("providers")), path)
+    classes = coverage.failure_classes(tried.select("doc_id").distinct(), failed, 5)
+    of = lambda kind: F.count_if(F.col("failure_class") == kind)
+    summary = classes.agg(
+        F.count("*").alias("total_documents"),
+        F.struct(
+            of("critical").alias("critical_failures"), of("partial").alias("partial_success"),
+            of("full").alias("full_success"),
+        ).alias("summary"),
+    ).first()
+    row = stats.agg(packed.alias("providers")).select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.lit(summary["total_documents"]).alias("total_documents"),
+        "providers",
+        F.struct(*(F.lit(v).alias(k) for k, v in summary["summary"].asDict().items())).alias("summary"),
+    )
+    path, beside = work_dir(spark, "statistics"), work_dir(spark, "failed")
+    sinks.write_json_row(row, path)
+    failed.write.json(beside)
     kinds = T.StructType([stats.schema[c] for c in fields])
-    schema = T.StructType([T.StructField("providers", T.MapType(T.StringType(), kinds))])
-    back = spark.read.schema(schema).json(path)
-    return back.select(F.explode("providers").alias("provider", "s")).select("provider", "s.*")
+    counts = "critical_failures bigint, partial_success bigint, full_success bigint"
+    schema = T.StructType([
+        T.StructField("timestamp", T.StringType()), T.StructField("total_documents", T.LongType()),
+        T.StructField("providers", T.MapType(T.StringType(), kinds)),
+        T.StructField("summary", T.StructType.fromDDL(counts)),
+    ])
+    back = spark.read.schema(schema).json(path).filter(F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\dT"))
+    listed = spark.read.schema("provider string, doc_id bigint").json(beside).groupBy("provider").agg(
+        F.count("*").alias("listed")
+    )
+    return (
+        back.select(F.explode("providers").alias("provider", "s"), "total_documents", "summary.*")
+        .select("provider", "s.*", "total_documents", "critical_failures", "partial_success", "full_success")
+        .join(listed, "provider", "left")
+    )
+
+
+MIN_TOKENS = 10
 
 
 @query(
     "k09_metadata_json",
-    f"""SELECT p.provider, (SELECT count(*) FROM documents) AS total_available,
-               coalesce(n, 0) AS documents_processed
-        FROM ({PROVIDERS_SQL}) p LEFT JOIN (SELECT provider, count(*) AS n FROM ({STORE_SQL})
-             WHERE len(embedding) > 0 GROUP BY provider) USING (provider)""",
+    f"""SELECT p.provider, total_available, processed, {MIN_TOKENS} AS min_tokens_threshold,
+               coalesce(n, 0) AS documents_processed, dimensions,
+               string_split(p.provider, '_')[1] AS name, CAST(NULL AS VARCHAR) AS base_url
+        FROM ({PROVIDERS_SQL}) p LEFT JOIN (SELECT provider, count(*) AS n, CAST(max(len(embedding)) AS BIGINT) AS dimensions FROM ({STORE_SQL})
+             WHERE len(embedding) > 0 GROUP BY provider) USING (provider)
+        CROSS JOIN (SELECT count(*) AS total_available, count(*) FILTER (len({TOKENS_SQL}) >= {MIN_TOKENS}) AS processed FROM documents)""",
 )
 def k09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = coverage.processed_counts(providers(spark), store(spark, sf_dir))
-    total = docs(spark, sf_dir).agg(F.count("*").alias("n")).scalar()
+    """Date, document counts, the token threshold, and the settings of every provider, nulls kept."""
+    from ..functions.text import token_count
+    from ..functions.vector import dimensions
+
+    size = dimensions(store(spark, sf_dir)).select("provider", F.col("max_dim").alias("dimensions"))
+    counts = coverage.processed_counts(providers(spark), store(spark, sf_dir)).join(size, "provider", "left")
+    total = texts(spark, sf_dir).agg(
+        F.count("*").alias("total_available"),
+        F.count_if(token_count("text") >= MIN_TOKENS).alias("processed"),
+    ).first()
     detail = F.struct(
-        "documents_processed", F.lit(None).cast("string").alias("base_url"), F.lit(10).alias("min_tokens")
+        F.split("provider", "_")[0].alias("name"), F.lit(None).cast("string").alias("base_url"),
+        "dimensions", "documents_processed",
+    )
+    row = counts.agg(F.map_from_entries(F.collect_list(F.struct("provider", detail))).alias("providers")).select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("processing_date"),
+        F.struct(
+            *(F.lit(v).alias(k) for k, v in total.asDict().items()), F.lit(MIN_TOKENS).alias("min_tokens_threshold")
+        ).alias("documents"),
+        "providers",
     )
-    row = counts.agg(
-        F.map_from_entries(F.collect_list(F.struct("provider", detail))).alias("providers")
-    ).withColumn("documents", F.struct(total.alias("total_available")))
     path = work_dir(spark, "metadata")
     sinks.write_json_row(row, path)
     back = spark.read.schema(
-        "documents struct<total_available:bigint>, "
-        "providers map<string, struct<documents_processed:bigint, base_url:string>>"
-    ).json(path)
-    return back.select(
-        "documents.total_available", F.explode("providers").alias("provider", "p")
-    ).select("provider", "total_available", "p.documents_processed")
+        "processing_date string, documents struct<total_available:bigint, processed:bigint, min_tokens_threshold:int>, "
+        "providers map<string, struct<name:string, base_url:string, dimensions:bigint, documents_processed:bigint>>"
+    ).json(path).filter("processing_date IS NOT NULL")
+    return back.select("documents.*", F.explode("providers").alias("provider", "p")).select(
+        "provider", "total_available", "processed", "min_tokens_threshold", "p.*"
+    )
 
 
 @query(
