@@ -345,6 +345,7 @@ def build(v, u, w, c, lower, mixed: bool) -> Trie:
 
     first = np.searchsorted(pairs, np.arange(len(names) + 1).astype(np.uint64) << np.uint64(W_BITS))
     rank = pi - first[vi]
+    del pi
     tri, ti = np.unique(ci.astype(np.uint64) << np.uint64(W_BITS) | rank.astype(np.uint64), return_inverse=True)
     count_t = np.bincount(ti, c, len(tri))
     tri_c = (tri >> np.uint64(W_BITS)).astype(np.int64)
@@ -424,7 +425,7 @@ def scores(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text
     spark = docs.sparkSession
     blocks = _bucketed(read_blocks(docs, F.coalesce(held, F.lit(False)), key, text))
     size = blocks.agg(F.count("*").alias("b"), F.sum("trained").alias("t"), F.sum("begun").alias("d")).first()
-    tokens, begun, shards = size["t"] or 0, size["d"] or 0, max(8, -(-size["b"] // 2))
+    tokens, begun, shards = size["t"] or 0, size["d"] or 0, max(8, size["b"])
     known = counted(blocks, _words, shards, tokens / shards)
     kinds = known.filter("tag IS NOT NULL").agg(F.sum("n")).first()[0] or 0
     hot = {r["hot"] % 2**64: r["total"] for r in known.filter("hot IS NOT NULL").select("hot", "total").collect()}
