@@ -4,7 +4,8 @@ Three patterns name assignments, access keys and long hexadecimal runs. Other lo
 judged by two first-order Markov models over characters: one of random strings, one of
 ordinary identifiers. The mean log-likelihood ratio of a string's transitions decides. The
 models are trained from labelled samples: values that the patterns found are random strings,
-words of other kinds are identifiers.
+short words of other kinds and common words of programs are identifiers, in all their ways of
+writing. Each distinct string counts by the logarithm of how often it is seen.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-STRING = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}"
+# a value starts right after the "=" of its name too; padding ends a string
+STRING = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 WORD = r"[A-Za-z0-9+/_-]{5,}"
 KINDS = ("assign", "access", "hex", "random")
 BASE = KINDS[:3]
@@ -31,6 +33,31 @@ BORROWED = 20.0
 LEAST_MEAN = 0.35
 LEAST_TOTAL = 14.0
 
+# fixed values: common words in names of programs
+COMMON = (
+    "abstract access account action active address after alias allow application argument array async attribute "
+    "author backup base before block body buffer build bundle button bytes cache callback change character check "
+    "child class clear client close cluster code collection color column command commit common component config "
+    "connection constant container content context control convert count create current custom data database date "
+    "debug default define delete description device dictionary directory disable display document domain download "
+    "driver dynamic editor element email enable encoding engine entry environment error event example exception "
+    "execute export factory failed false feature field file filter find first flag folder font force format frame "
+    "function generator global graph group handler hash header height helper hidden history host identifier image "
+    "import index info initial input insert instance integer interface internal item iterator join keyboard label "
+    "language last layer layout length level library license limit line link list listener load local location "
+    "logger login main manager map match maximum memory menu message method minimum mode model module mouse name "
+    "namespace native network node notification number object observer offset open operator option order output "
+    "owner package page panel parameter parent parse path pattern permission player plugin point policy position "
+    "prefix previous print private process product profile project property protocol provider proxy public query "
+    "queue random range read record reference register release remote remove render replace report request reset "
+    "resource response result return role root route row sample scale schema scope screen script search second "
+    "section select sequence serial server service session setting shadow shape share signature simple single size "
+    "socket sort source stack start state static status storage stream string style subject submit suffix support "
+    "switch symbol system table target task template test text thread time title total transaction transform tree "
+    "trigger type unique update upload user utility valid value variable vector version view visible warning watch "
+    "width window word worker write get set add put has can with from into not key new old for and the is by of to on"
+).split()
+
 NONE = "array<struct<start int, stop int, value string>>"
 
 
@@ -71,20 +98,23 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def _transitions(strings: DataFrame) -> DataFrame:
-    """(y, pair, n): how often characters follow each other in strings of both labels."""
-    return (
-        strings.select("y", F.explode(F.transform(
-            F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.substring("s", i, 2)
-        )).alias("pair")).groupBy("y", "pair").agg(F.count("*").alias("n"))
-    )
+    """(y, pair, n): how much characters follow each other in strings of both labels."""
+    weighed = strings.groupBy("y", "s").agg(F.log1p(F.count("*")).alias("n"))
+    low, up, cap = F.lower("s"), F.upper("s"), F.concat(F.upper(F.substring("s", 1, 1)), F.expr("lower(substring(s, 2))"))
+    # names join words by signs or capitals, and constants are in upper case
+    forms = F.array("s", *(F.concat(a, F.lit(by), a) for a in (low, up) for by in "_-/"), F.concat(cap, cap))
+    written = F.when(F.col("y") == 1, F.array("s")).otherwise(forms)
+    return weighed.select("y", "n", F.explode(written).alias("s")).select("y", "n", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.substring("s", i, 2)
+    )).alias("pair")).groupBy("y", "pair").agg(F.sum("n").alias("n"))
 
 
 def train(found: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[float]:
     """Log-likelihood ratio of each transition, in the order of ``ALPHABET`` squared.
 
-    ``found`` holds base spans: its values are the random strings. Identifiers are the words of
-    ``rows`` documents, those of the smallest hashes, that the patterns left alone. At most
-    ``len(ALPHABET) ** 2`` sums of each label reach the driver.
+    ``found`` holds base spans: its values are the random strings. Identifiers are ``COMMON`` and
+    the words of ``rows`` documents, those of the smallest hashes, that the patterns left alone.
+    At most ``len(ALPHABET) ** 2`` sums of each label reach the driver.
     """
     secret = found.select(F.explode(F.flatten(F.array(*(F.transform(k, lambda s: s["value"]) for k in BASE)))).alias("s"))
     ids = durable(docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
@@ -93,8 +123,10 @@ def train(found: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[fl
         F.explode(F.regexp_extract_all(blank, F.lit(WORD), F.lit(0))).alias("s")
     )
     labelled = secret.filter(F.length("s") > 1).select(F.lit(1).alias("y"), "s").unionByName(
-        # what is to be judged is no label: long strings with digits stay out
-        plain.filter((F.length("s") < 20) | ~F.col("s").rlike("[0-9]")).select(F.lit(0).alias("y"), "s")
+        # what is to be judged is no label: long strings stay out
+        plain.filter(F.length("s") < 20).select(F.lit(0).alias("y"), "s")
+    ).unionByName(
+        found.sparkSession.range(1).select(F.lit(0).alias("y"), F.explode(F.split(F.lit(" ".join(COMMON)), " ")).alias("s"))
     )
     known = {(r["y"], r["pair"]): r["n"] for r in _transitions(labelled).filter(
         F.col("pair").rlike(r"^[A-Za-z0-9+/_=.-]{2}$")
@@ -104,7 +136,8 @@ def train(found: DataFrame, docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[fl
         # a character that was rarely seen before another borrows from how often it is seen at all
         every = {b: 1 + sum(known.get((y, a + b), 0) for a in ALPHABET) for b in ALPHABET}
         after = {a: sum(known.get((y, a + b), 0) for b in ALPHABET) for a in ALPHABET}
-        share = {b: n / sum(every.values()) for b, n in every.items()}
+        # and all characters are as likely in a random string
+        share = {b: 1 / len(ALPHABET) if y else n / sum(every.values()) for b, n in every.items()}
         models.append([
             math.log((known.get((y, a + b), 0) + BORROWED * share[b]) / (after[a] + BORROWED))
             for a in ALPHABET for b in ALPHABET
@@ -127,8 +160,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     Strings that the patterns found are not judged again. Null and empty texts have no spans;
     rows with a null key stay, repeated rows repeat their result, other columns are ignored.
-    Without any secret or identifier to learn from, no transition tells the labels apart and
-    nothing is added.
+    Without any secret to learn from, random strings are those of evenly likely characters.
     """
     source = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     found = durable(base_spans(source).drop("text"))
@@ -140,7 +172,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"), ratio(s["value"], model).alias("llr")
     )))
     random = F.filter("strings", lambda s: (s["llr"] >= LEAST_TOTAL) & (
-        s["llr"] >= LEAST_MEAN * (F.length(s["value"]) - 1)) & s["value"].rlike("[0-9]"))
+        s["llr"] >= LEAST_MEAN * (F.length(s["value"]) - 1)))
 
     def named(found, kind: str) -> Column:
         return F.transform(found, lambda s: F.struct(

@@ -226,6 +226,30 @@ def test_secrets_hard_cases_and_models(spark, odd, none):  # noqa: F811
     assert secrets.find_secrets(odd).count() == len(ODD) and secrets.find_secrets(none).count() == 0
 
 
+#: Random values that no base pattern finds (right after "=", without a digit), and long names.
+RANDOM = [
+    ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]),
+    ("x?sig=Zm9vYmFyYmF6cXV4Q29ycmVjdEhvcnNl&y=1", ["Zm9vYmFyYmF6cXV4Q29ycmVjdEhvcnNl"]),
+    ("private_key=2VMNKgjn36hkEQ95BeepHdWNyqLvhLpcdW8K9Nx7== x", ["2VMNKgjn36hkEQ95BeepHdWNyqLvhLpcdW8K9Nx7=="]),
+    ("see lxtawyyEXfOTgpeJjtLcRuDY here", ["lxtawyyEXfOTgpeJjtLcRuDY"]),
+    ("sessionid=uWHpyzwTmydweJYfPkVxKiEGbZZZsaSx", ["uWHpyzwTmydweJYfPkVxKiEGbZZZsaSx"]),
+    ("AbstractSingletonProxyFactoryBean org/path/to/resources/of/interest some-long-kebab-case-identifier-name", []),
+    ("SOME_LONG_CONSTANT_NAME_HERE=some_other_long_constant_name", []),
+]
+
+
+def test_secrets_after_names_and_without_digits(spark):
+    rng = np.random.default_rng(4)
+    chars = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    rows = [(i, t) for i, (t, _) in enumerate(RANDOM)]
+    rows += [(100 + i, f"password={''.join(rng.choice(chars, 24))} in the configuration of the application") for i in range(200)]
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, want) in enumerate(RANDOM):
+        assert not base_secrets(text)
+        assert [(s.kind, s.value) for s in got[i]] == [("random", v) for v in want], text
+        assert all(text[s.start : s.stop] == s.value for s in got[i])
+
+
 # --- licences ------------------------------------------------------------------------
 
 
