@@ -286,6 +286,59 @@ def test_licences_of_the_table(spark):
         assert not own or (r.license in own and r.score == 1)
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2031 Some Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR
+IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+GPL_HEADER = """/* Frobnicate things.
+ *
+ * Copyright (C) 2031 Some Person
+ *
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */
+
+int main(void) { return 0; }"""
+
+
+def test_licence_headers_and_texts(spark):
+    known = spark.createDataFrame(licenses.TEMPLATES, "license string, template string")
+    texts = dict(licenses.full_texts())
+    bsd = texts["BSD-3-Clause"].replace("<year>, <owner>", "2031, Some Person").split("\n", 2)[2]
+    rows = [
+        (1, "// SPDX-License-Identifier: MIT\nint x;", "s/1"), (2, "# SPDX-License-Identifier: Apache-2.0\n\nx = 1", "s/2"),
+        (3, "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint x;", "s/3"), (4, GPL_HEADER, "g/4"),
+        (5, MIT_FILE, "m/LICENSE"), (6, "x = 1", "m/a/6"), (7, bsd, "b/LICENSE"), (8, "x = 1", "b/8"), (9, "x = 1", "g/9"),
+        (10, "x = 1", "s/10"), (11, texts["GPL-3.0"], "h/COPYING"), (12, texts["AGPL-3.0"], "k/COPYING"), (13, texts["Apache-2.0"], "l/L"),
+        (14, "x = 1", "h/i/j/14"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = {r.doc_id: (r.license, r.origin, r.license_dir) for r in licenses.licences(frame, known).collect()}
+    own = {1: "MIT", 2: "Apache-2.0", 3: "GPL-2.0", 4: "GPL-2.0", 5: "MIT", 7: "BSD-3-Clause", 11: "GPL-3.0", 12: "AGPL-3.0", 13: "Apache-2.0"}
+    assert {i: g for i, g in got.items() if i in own} == {i: (n, "own", None) for i, n in own.items()}
+    assert got[6] == ("MIT", "inherited", "m") and got[8] == ("BSD-3-Clause", "inherited", "b")
+    assert got[14] == ("GPL-3.0", "inherited", "h") and got[9] == got[10] == (None, None, None)
+
+
 # --- pages ---------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T{i}</title><script>var t="</p>";</script></head><body class="x">
