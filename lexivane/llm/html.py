@@ -4,9 +4,10 @@ Every start tag of a page is a token, told apart by the path it stands in. Over
 host, tokens that occur equally often on each page share an occurrence vector; its hash is
 summed over pages, so no page list is ever gathered. Tokens with the same vector form a class;
 classes that are frequent, hold several tokens and occur once a page are the host's template,
-nested by path. Their elements are its slots. The slot that holds the article is chosen once
-for a host from the text all its pages have there, and each page gives what it has in that
-slot, without the parts that are furniture by their names.
+nested by path. Their elements are its slots. The slots that hold the article are chosen once
+for a host from the text all its pages have there; of the others, those count whose text
+differs from page to page. Each page gives what it has in these slots, without the parts that
+are furniture by their names.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
-RAW = frozenset("script style noscript template iframe textarea title svg math xmp noembed noframes".split())
+RAW = frozenset("script style noscript template iframe textarea title svg xmp noembed noframes".split())
 FURNITURE = frozenset("head nav footer aside form menu dialog button select option input label fieldset search".split())
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments "
@@ -101,6 +102,30 @@ def parse(page: str | None):
         yield "close", stack.pop()[1]
 
 
+def marked(page: str | None) -> list[tuple]:
+    """The events of ``parse``; what holds a heading or article and most of the page's text is no furniture."""
+    events, opened, total = list(parse(page)), [], 0
+    ends: dict[int, int] = {}
+    for i, e in enumerate(events):
+        if e[0] == "open":
+            opened.append([i, total, False])
+            if e[3] in ("h1", "article", "main"):
+                for o in reversed(opened):
+                    if o[2]:
+                        break
+                    o[2] = True
+        elif e[0] == "close":
+            at, before, holds = opened.pop()
+            if holds and events[at][2] and events[at][3] not in RAW:
+                ends[at] = total - before
+        else:
+            total += len(e[1].strip())
+    for at, chars in ends.items():
+        if 2 * chars > total:
+            events[at] = (*events[at][:2], False, events[at][3])
+    return events
+
+
 def _look(name: str, attributes: str) -> tuple[str, bool]:
     """The token of a start tag, and whether its names make it furniture."""
     label, furniture = name, name in FURNITURE or name in RAW
@@ -118,15 +143,18 @@ def _look(name: str, attributes: str) -> tuple[str, bool]:
     return label.replace("/", "_"), furniture
 
 
-def blocks(page: str | None, slot: str | None) -> str:
-    """The text of the elements at ``slot``, one line per block.
+def blocks(page: str | None, core: list[str] | None, varied: list[str] | None = None, fixed: list[str] | None = None) -> str:
+    """The text of the elements at ``core``, one line per block, and of other slots at ``varied``.
 
-    A page without that slot gives its article or main element, and one without these its
-    body, furniture always left out.
+    Text belongs to the innermost slot around it: what lies in one of ``fixed``, which are alike
+    on all pages, is left out, but not inside ``core``. A page without these slots gives its
+    article or main element, and one without these its body, furniture always left out.
     """
-    wanted = [slot] if slot else []
-    events = list(parse(page))
+    wanted, more = set(core or ()), dict.fromkeys(varied or (), True) | dict.fromkeys(fixed or (), False)
+    events, first = marked(page), True
     for choose in (lambda p, n: p in wanted, lambda p, n: n in ("article", "main"), lambda p, n: n == "body", None):
+        slots = more if first else {}
+        first, around = False, [False]  # whether the innermost slot around varies
         lines: list[str] = []
         part: list[str] = []
         inside, hidden, seen = 0, 0, choose is None
@@ -141,12 +169,14 @@ def blocks(page: str | None, slot: str | None) -> str:
         for e in events:
             if e[0] == "open":
                 hit = choose is not None and choose(e[1], e[3])
+                varies = slots.get(e[1], around[-1])
                 seen |= hit
                 # a header belongs to the page, or to the article if it stands in it
-                bad = e[2] or e[3] == "header" and not inside
+                bad = e[2] or e[3] == "header" and not inside and not slots.get(e[1])
                 broken = e[3] in BLOCK
-                if broken and (inside or choose is None) and not hidden:
+                if broken and not hidden:
                     flush()
+                around.append(varies)
                 if e[3] == "br" and not hidden:
                     part.append(" ")
                 held.append((hit, bad, broken))
@@ -154,11 +184,12 @@ def blocks(page: str | None, slot: str | None) -> str:
                 hidden += bad
             elif e[0] == "close":
                 hit, bad, broken = held.pop()
-                if broken and (inside or choose is None) and not hidden:
+                if broken and not hidden:
                     flush()
+                around.pop()
                 inside -= hit
                 hidden -= bad
-            elif (inside or choose is None) and not hidden:
+            elif (inside or choose is None or around[-1]) and not hidden:
                 if e[1] == "\0":
                     flush()
                 else:
@@ -175,10 +206,11 @@ def host_of(url: str) -> Column:
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, n, h1, h2, chars): what batches of pages know of every token.
+    """(host, path, pages, n, h1, h2, chars, low, high): what batches of pages know of every token.
 
     ``h1`` and ``h2`` are sums of hashes of page and count, the fingerprint of the occurrence
-    vector; ``chars`` is the visible text inside, without furniture.
+    vector; ``chars`` is the visible text inside, without furniture, and ``low`` and ``high`` are
+    the least and greatest hash of that text.
     """
 
     def run(batches):
@@ -187,9 +219,10 @@ def tokens(pages: DataFrame) -> DataFrame:
             for host, row, page in zip(*(batch.column(c).to_pylist() for c in ("host", "row", "html"))):
                 counts: dict[str, int] = {}
                 chars: dict[str, int] = {}
+                inner: dict[str, xxhash.xxh3_64] = {}
                 hidden, held = 0, []
                 bare: set[str] = set()
-                for e in parse(page):
+                for e in marked(page):
                     if e[0] == "open":
                         counts[e[1]] = counts.get(e[1], 0) + 1
                         hidden += e[2]
@@ -203,22 +236,27 @@ def tokens(pages: DataFrame) -> DataFrame:
                         if n:
                             for path in {"", *(p for p, _ in held)}:
                                 chars[path] = chars.get(path, 0) + n
+                                if path not in inner:
+                                    inner[path] = xxhash.xxh3_64()
+                                inner[path].update(e[1].strip().encode("utf-8", "replace"))
                 counts[""] = 1
                 for path, n in counts.items():
                     h = xxhash.xxh3_64_intdigest(f"{row}:{n}")
-                    one = known.setdefault((host, path), [0, 0, 0, 0, 0])
+                    one = known.setdefault((host, path), [0, 0, 0, 0, 0, 2**63 - 1, 0])
+                    text = inner[path].intdigest() >> 1 if path in inner and path not in bare else 0
+                    one[5], one[6] = min(one[5], text), max(one[6], text)
                     for i, v in enumerate((1, n, h >> 33, h & 0x7FFFFFFF, 0 if path in bare else chars.get(path, 0))):
                         one[i] += v
             cols = [pa.array([k[i] for k in known], pa.string()) for i in (0, 1)]
-            cols += [pa.array([v[i] for v in known.values()], pa.int64()) for i in range(5)]
-            yield pa.RecordBatch.from_arrays(cols, ["host", "path", "pages", "n", "h1", "h2", "chars"])
+            cols += [pa.array([v[i] for v in known.values()], pa.int64()) for i in range(7)]
+            yield pa.RecordBatch.from_arrays(cols, ["host", "path", "pages", "n", "h1", "h2", "chars", "low", "high"])
 
-    return pages.mapInArrow(run, "host string, path string, pages long, n long, h1 long, h2 long, chars long")
+    return pages.mapInArrow(run, "host string, path string, pages long, n long, h1 long, h2 long, chars long, low long, high long")
 
 
 def templates(pages: DataFrame, share: float = SHARE) -> DataFrame:
-    """(host, slot): the article's slot in the template of every host that has one."""
-    sums = [F.sum(c).alias(c) for c in ("pages", "n", "h1", "h2", "chars")]
+    """(host, core, varied, fixed): paths of the article's slots, and of others whose text varies or not."""
+    sums = [F.sum(c).alias(c) for c in ("pages", "n", "h1", "h2", "chars")] + [F.min("low").alias("low"), F.max("high").alias("high")]
     known = durable(tokens(pages).groupBy("host", "path").agg(*sums))
     sizes = known.filter("path = ''").select("host", F.col("pages").alias("all_pages"), F.col("chars").alias("whole"))
     classes = known.filter("path <> ''").groupBy("host", "h1", "h2").agg(
@@ -230,16 +268,20 @@ def templates(pages: DataFrame, share: float = SHARE) -> DataFrame:
     label = F.element_at(F.split("path", "/"), -1)
     named = F.regexp_extract(label, r"^(article|main)(\.|$)", 1) != ""
     slots = known.filter("path <> '' AND chars > 0").join(valid, ["host", "h1", "h2"]).select(
-        "host", "path", "chars", named.alias("named"), F.size(F.split("path", "/")).alias("depth")
+        "host", "path", "chars", (F.col("low") < F.col("high")).alias("varies"), named.alias("named"), F.size(F.split("path", "/")).alias("depth")
     )
     most = slots.groupBy("host").agg(F.max("named").alias("any")).join(sizes, "host")
     fit = slots.join(most, "host").filter(
         F.when(F.col("any"), F.col("named")).otherwise(F.col("chars") >= MOST_TEXT * F.col("whole"))
     )
-    # an element with such a name and the most text, else the innermost that still holds most of it
-    first = F.when(F.col("any"), F.col("chars")).otherwise(F.col("depth").cast("long"))
-    best = F.struct(first.alias("first"), F.col("chars").alias("second"), F.col("path").alias("third"))
-    return fit.groupBy("host").agg(F.max_by("path", best).alias("slot"))
+    # all elements with such a name, else the innermost that still holds most of the text
+    deepest = F.max_by("path", F.struct("depth", "chars", "path"))
+    core = fit.groupBy("host").agg(F.when(F.first("any"), F.array_sort(F.collect_set("path"))).otherwise(F.array(deepest)).alias("core"))
+    others = slots.groupBy("host").agg(*(
+        F.array_sort(F.collect_set(F.when(which, F.col("path")))).alias(name)
+        for name, which in (("varied", F.col("varies")), ("fixed", ~F.col("varies")))
+    ))
+    return others.join(core, "host", "left")
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -257,11 +299,11 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = source.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(
         spread, ["host", "salt"], "left"
-    ).select("key", "url", "html", "slot")
+    ).select("key", "url", "html", "core", "varied", "fixed")
 
     def run(batches):
         for batch in batches:
-            texts = [blocks(h, s) for h, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = [blocks(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], [key, url, "text"]
             )

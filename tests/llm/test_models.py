@@ -379,6 +379,21 @@ def test_pages_of_the_table(spark):
         assert r.text == "\n".join(p for p in parts if p) and r.n_chars == len(r.text)
 
 
+def test_pages_with_several_slots(spark):
+    outside = """<html><body><div class="top">Our site</div><h1>Title {i}</h1><div class="lead">Lead {i}</div>
+<div class="content"><p>Long {words} {i}<p>The <math><mi>x</mi><mo>=</mo><mn>{i}</mn></math> end</div><div class="footer">F {i}</div></body></html>"""
+    two = """<html><body><div class="top">Our site</div><article class="lead"><p>Lead {i}</article>
+<article class="body"><p>Long {words} {i}</article><div class="share">Share {i}</div></body></html>"""
+    wrapped = """<html><body><form id="login-form" class="subscribe"><nav>Home</nav><h1>Title {i}</h1><p>Long {words} {i}</p></form></body></html>"""
+    words = " ".join(["word"] * 60)
+    rows = [(100 * k + i, f"https://h{k}.org/{i}", p.format(i=i, words=words)) for k, p in enumerate((outside, two, wrapped)) for i in range(6)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == f"Title {i}\nLead {i}\nLong {words} {i}\nThe x={i} end"
+        assert got[100 + i] == f"Lead {i}\nLong {words} {i}"
+        assert got[200 + i] == f"Title {i}\nLong {words} {i}"
+
+
 # --- the pipeline --------------------------------------------------------------------
 
 
