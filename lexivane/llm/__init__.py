@@ -1,7 +1,8 @@
 """Operators for preparing training text at scale, with their queries."""
 
 from . import (  # noqa: F401
-    contamination, html, licenses, minhash, ngrams, packing, pii, secrets, toxicity, vectors,
+    audit, contamination, html, licenses, minhash, ngrams, packing, pii, secrets, topk, toxicity, variants,
+    vectors,
 )
 from .common import ORACLE, QUERIES
 
