@@ -31,25 +31,33 @@ FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 SYMBOLS = b"#$%&*|"
 
-SHARDS = (
-    "shard long, doc_ids array<long>, parts array<string>, digests array<binary>, upper array<long>, "
-    "points array<long>, symbols array<boolean>, bounds binary, cells binary, cell_type string, "
-    "times binary, time_type string, words array<string>"
-)
-MATRIX = (
+FLUSH = 1 << 20  # numbered words that a task holds before it deals them to their shards
+
+ABOUT = (
     "shard long, doc_ids array<long>, parts array<string>, digests array<binary>, upper array<long>, "
-    "points array<long>, symbols array<boolean>, bounds binary, columns binary, times binary"
+    "points array<long>, symbols array<boolean>, bounds binary"
 )
+SHARDS = f"{ABOUT}, cells binary, times binary, words array<string>"
+MATRIX = f"{ABOUT}, columns binary, times binary"
+NUMBERS = "shard long, locals binary, columns binary"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split(" ")[0] for c in schema.split(", ")]
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, compressed."""
+    return pa.compress(values.astype(np.uint32).tobytes(), codec="zstd", asbytes=True)
 
 
-def _least(values: np.ndarray) -> np.ndarray:
-    """The same unsigned values in the narrowest type."""
-    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+def _opened(data: pa.Buffer, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 4 * n, codec="zstd"), np.uint32)
 
 
-def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """How many flags are set between consecutive offsets."""
-    return np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[offsets])
+def _counts(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of a few flags are set between consecutive offsets."""
+    return np.diff(np.searchsorted(np.flatnonzero(flags), offsets))
 
 
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -66,29 +74,24 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     is_symbol = np.zeros(256, bool)
     is_symbol[list(SYMBOLS)] = True
+    lists = (pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.bool_())
     for batch in slices(batches, 2, SLICE):
         texts = pc.fill_null(batch.column(2), "")
         lens, codes, words = words_of(texts, lower=False)
         n, width = len(lens), max(len(words), 1)
-        cells, times = np.unique(np.repeat(np.arange(n), lens) * width + codes, return_counts=True)
+        cells, times = np.unique(np.repeat(np.arange(n) * width, lens) + codes, return_counts=True)
         bounds = np.searchsorted(cells, np.arange(n + 1) * width)
         raw, offsets = _bytes(texts)
-        cells, times = _least(cells % width), _least(times)
         digests = [xxhash.xxh3_128_digest(raw[a:b].data) for a, b in zip(offsets[:-1], offsets[1:])]
-        row = [
-            number, batch.column(0).to_pylist(), batch.column(1).to_pylist(), digests,
-            _sums((raw >= 65) & (raw <= 90), offsets), _sums((raw & 0xC0) != 0x80, offsets),
-            _sums(is_symbol[raw], offsets) > 0, bounds.astype(np.int64).tobytes(),
-            cells.tobytes(), cells.dtype.str, times.tobytes(), times.dtype.str, words,
-        ]
-        types = [
-            pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.binary()),
-            pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(),
-            pa.binary(), pa.string(), pa.binary(), pa.string(), pa.list_(pa.string()),
-        ]
-        names = [c.split(" ")[0] for c in SHARDS.split(", ")]
+        upper = _counts((raw >= 65) & (raw <= 90), offsets)
+        points = np.diff(offsets) - _counts((raw & 0xC0) == 0x80, offsets)
+        symbols = _counts(is_symbol[raw], offsets) > 0
+        items = [batch.column(0), batch.column(1), digests, upper, points, symbols]
+        binaries = [bounds.astype(np.int64).tobytes(), _squeezed(np.diff(cells % width, prepend=0)), _squeezed(times)]
         yield pa.RecordBatch.from_arrays(
-            [_one(v, t) for v, t in zip(row, types)], names=names
+            [pa.array([number]), *[_one(v, pa.list_(t)) for v, t in zip(items, lists)],
+             *[pa.array([v], pa.binary()) for v in binaries], _one(words, pa.list_(pa.string()))],
+            names=_names(SHARDS),
         )
         number += 1
 
@@ -102,11 +105,30 @@ def _one(value, kind: pa.DataType) -> pa.Array:
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shard, local, column) from (word, shard, local) in the order of words: a number a word.
+    """(shard, locals, columns) from (word, shard, local) in the order of words: a number a word.
 
     All rows of a word lie in one partition, whose number is in the upper bits.
     """
     at, last = (TaskContext.get().partitionId() << 40) - 1, None
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        shard, local, column = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        order = np.argsort(shard, kind="stable")
+        shard, local, column = shard[order], local[order].astype(np.int32), column[order]
+        cuts = np.flatnonzero(np.diff(shard, prepend=shard[0] - 1, append=shard[-1] + 1))
+        for i in range(0, len(cuts) - 1, 64):
+            spans = list(zip(cuts[i : i + 64], cuts[i + 1 : i + 65]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shard[[a for a, _ in spans]]),
+                    pa.array([local[a:b].tobytes() for a, b in spans], pa.binary()),
+                    pa.array([column[a:b].tobytes() for a, b in spans], pa.binary()),
+                ],
+                names=_names(NUMBERS),
+            )
+
     for batch in batches:
         words = batch.column(0)
         if not len(words):
@@ -116,27 +138,47 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[0] = words[0].as_py() != last
         columns = at + np.cumsum(new)
         at, last = int(columns[-1]), words[-1].as_py()
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(1), batch.column(2), pa.array(columns)], names=["shard", "local", "column"]
-        )
+        held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), columns))
+        if sum(len(h[0]) for h in held) >= FLUSH:
+            yield from flush()
+    if held:
+        yield from flush()
 
 
 def _renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shards with the numbers that hold everywhere, from shards joined with their numbers."""
-    kept = [c.split(" ")[0] for c in MATRIX.split(", ")]
+    """Shards with the numbers that hold everywhere, from a stream in which its numbers precede a shard."""
+    locals_, columns = [], []
     for batch in batches:
         for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            at = {name: row.column(name) for name in row.schema.names}
-            cells = np.frombuffer(at["cells"][0].as_buffer(), at["cell_type"][0].as_py())
-            times = np.frombuffer(at["times"][0].as_buffer(), at["time_type"][0].as_py()).astype(np.int64)
-            pairs = at["numbers"].flatten()
-            columns = np.zeros(len(pairs), np.int64)
-            if len(pairs):
-                columns[pairs.field("local").to_numpy()] = pairs.field("column").to_numpy()
-            at["columns"] = pa.array([columns[cells].tobytes()], pa.binary())
-            at["times"] = pa.array([times.tobytes()], pa.binary())
-            yield pa.RecordBatch.from_arrays([at[c] for c in kept], names=kept)
+            at = {name: batch.column(name).slice(i, 1) for name in batch.schema.names}
+            raw = lambda c: at[c][0].as_buffer()  # noqa: E731,B023
+            if not at["cells"][0].is_valid:
+                locals_.append(np.frombuffer(raw("locals"), np.int32))
+                columns.append(np.frombuffer(raw("columns"), np.int64))
+                continue
+            numbers = np.zeros(sum(map(len, locals_)), np.int64)
+            for own, everywhere in zip(locals_, columns):
+                numbers[own] = everywhere
+            locals_, columns = [], []
+            size = int(np.frombuffer(raw("bounds"), np.int64)[-1])
+            cells = np.cumsum(_opened(raw("cells"), size), dtype=np.uint32)
+            at["columns"] = pa.array([numbers[cells].tobytes()], pa.binary())
+            at["times"] = pa.array([_opened(raw("times"), size).astype(np.int64).tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([at[c] for c in _names(MATRIX)], names=_names(MATRIX))
+
+
+def _numbered(docs: DataFrame, part: str, key: str, text: str) -> DataFrame:
+    """The stream that ``_renumber`` reads: for each shard its numbers, then the shard itself."""
+    texts = docs.select(
+        F.col(key).cast("long").alias("key"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
+        F.col(text).alias("text"),
+    )
+    shards = durable(texts.mapInArrow(_shards, SHARDS))
+    n = partitions(docs.sparkSession)
+    seen = shards.select("shard", F.posexplode("words").alias("local", "word")).select("word", "shard", "local")
+    numbers = seen.repartition(n, "word").sortWithinPartitions("word").mapInArrow(_number, NUMBERS)
+    both = shards.drop("words").unionByName(numbers, allowMissingColumns=True)
+    return both.repartition(n, "shard").sortWithinPartitions("shard", F.col("cells").isNotNull())
 
 
 def document_term_matrix(docs: DataFrame, part: str = "source", key: str = "doc_id",
@@ -149,21 +191,7 @@ def document_term_matrix(docs: DataFrame, part: str = "source", key: str = "doc_
     and ``digests`` (128 bits) describe its text. Null and empty texts are rows without cells,
     repeated rows are rows of their own, an empty table has no shard.
     """
-    texts = docs.select(
-        F.col(key).cast("long").alias("key"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
-        F.col(text).alias("text"),
-    )
-    shards = durable(texts.mapInArrow(_shards, SHARDS))
-    n = partitions(docs.sparkSession)
-    seen = shards.select("shard", F.posexplode("words").alias("local", "word")).select("word", "shard", "local")
-    numbers = seen.repartition(n, "word").sortWithinPartitions("word").mapInArrow(
-        _number, "shard long, local int, column long"
-    )
-    # bounded by the words of one slice, or of one text
-    lists = numbers.groupBy("shard").agg(F.collect_list(F.struct("local", "column")).alias("numbers"))
-    return shards.drop("words").join(lists, "shard", "left").withColumn(
-        "numbers", F.coalesce("numbers", F.expr("cast(array() as array<struct<local:int,column:bigint>>)"))
-    ).mapInArrow(_renumber, MATRIX)
+    return _numbered(docs, part, key, text).mapInArrow(_renumber, MATRIX)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,9 +227,9 @@ def failures(docs: DataFrame, labels: DataFrame, part: str = "source", key: str
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"),
     )
-    matrix = document_term_matrix(docs, part, key, text)
+    stream = _numbered(docs, part, key, text)  # the matrix is made and read in one pass
     rows = durable(
-        matrix.mapInArrow(_rows, "key long, part string, digest binary, mask int")
+        stream.mapInArrow(lambda b: _rows(_renumber(b)), "key long, part string, digest binary, mask int")
         .join(marks, "key", "left")
         .fillna(False, ["good", "toxic"])
     )
