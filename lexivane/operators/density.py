@@ -10,24 +10,16 @@ from ..functions.vector import as_double
 from ..session import durable
 from ..sources.corpus import with_row_index
 from .components import connected_components
+from .hierarchy import PIECE_EDGES, condensed_tree, excess_of_mass
 from .neighbours import (
-    BROADCAST_BYTES, CHUNK_ROWS, clean, distinct_vectors, knn, members, metric_of, radius_forest,
+    BROADCAST_BYTES, CHUNK_ROWS, clean, distinct_vectors, knn, members, metric_of, problem,
+    radius_forest, usual_dimension,
 )
+from .spanning import spanning_tree
 
 NOISE = -1
 
 
-def core_distances(
-    points: DataFrame, min_samples: int, metric: str, broadcast_bytes: int, chunk_rows: int
-) -> DataFrame:
-    """Distance to the ``min_samples``-th neighbour; points with fewer have none."""
-    near = knn(
-        points, points, min_samples, metric, "id", "id", "vec", exclude_self=True,
-        broadcast_bytes=broadcast_bytes, chunk_rows=chunk_rows,
-    )
-    return near.filter(F.col("rank") == min_samples).select("id", F.col("distance").alias("core"))
-
-
 def order_topics(assignment: DataFrame, key: str = "doc_id", cluster: str = "cluster") -> DataFrame:
     """Topic ids 0, 1, ... by descending size, ties by smallest member; null is noise, -1."""
     sizes = assignment.filter(F.col(cluster).isNotNull()).groupBy(cluster).agg(
@@ -40,6 +32,45 @@ def order_topics(assignment: DataFrame, key: str = "doc_id", cluster: str = "clu
 
 
 def density_clusters(
+    points: DataFrame, min_cluster_size: int = 20, min_samples: int | None = None,
+    radius: float | None = None, metric: str = "euclidean", key: str = "doc_id",
+    vector: str = "embedding", broadcast_bytes: int = BROADCAST_BYTES,
+    chunk_rows: int = CHUNK_ROWS, piece_edges: int = PIECE_EDGES,
+) -> DataFrame:
+    """(key, topic): the clusters of greatest excess of mass, or those of one ``radius`` if it is given.
+
+    Keys are unique. Rows without a usable vector are noise, as are points outside of all clusters.
+    """
+    if radius is not None:
+        return radius_clusters(
+            points, min_cluster_size, min_samples, radius, metric, key, vector, broadcast_bytes, chunk_rows
+        )
+    _, held = density_hierarchy(
+        points, min_cluster_size, min_samples, metric, key, vector, broadcast_bytes, chunk_rows, piece_edges
+    )
+    return order_topics(points.select(key).join(held.select(key, "cluster"), key, "left"), key)
+
+
+def density_hierarchy(
+    points: DataFrame, min_cluster_size: int = 20, min_samples: int | None = None,
+    metric: str = "euclidean", key: str = "doc_id", vector: str = "embedding",
+    broadcast_bytes: int = BROADCAST_BYTES, chunk_rows: int = CHUNK_ROWS, piece_edges: int = PIECE_EDGES,
+) -> tuple[DataFrame, DataFrame]:
+    """The condensed cluster tree with the chosen clusters, and their points with strengths.
+
+    See ``hierarchy.excess_of_mass``: (cluster, parent, stability, value, chosen) and
+    (key, cluster, strength). Clusters may be nested and of any density; none is below
+    ``min_cluster_size``, and the whole table is never one.
+    """
+    usable = points.filter(problem(vector, metric_of(metric), usual_dimension(points, vector)).isNull())
+    tree = durable(spanning_tree(
+        usable, min_samples or min_cluster_size, metric, key, vector, broadcast_bytes, chunk_rows
+    ))
+    clusters, leaving = condensed_tree(tree, usable.select(key), min_cluster_size, key, piece_edges)
+    return excess_of_mass(clusters, leaving, key)
+
+
+def radius_clusters(
     points: DataFrame, min_cluster_size: int = 20, min_samples: int | None = None,
     radius: float | None = None, metric: str = "euclidean", key: str = "doc_id",
     vector: str = "embedding", broadcast_bytes: int = BROADCAST_BYTES,
@@ -54,7 +85,11 @@ def density_clusters(
     m = metric_of(metric)
     pts = clean(points, key, vector, m)
     samples = min_samples or min_cluster_size
-    core = durable(core_distances(pts, samples, metric, broadcast_bytes, chunk_rows))
+    near = knn(
+        pts, pts, samples, metric, "id", "id", "vec", exclude_self=True,
+        broadcast_bytes=broadcast_bytes, chunk_rows=chunk_rows,
+    )
+    core = durable(near.filter(F.col("rank") == samples).select("id", F.col("distance").alias("core")))
     if radius is None:
         radius = core.agg(F.percentile_approx("core", 0.9, 1_000_000)).first()[0]
     inside = durable(

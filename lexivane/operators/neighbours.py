@@ -302,12 +302,14 @@ def visits(queries: DataFrame, cells: Cells, metric: Metric, skip_own: bool) ->
 
 
 def meet(
-    queries: DataFrame, visiting: DataFrame, cells: Cells, fn, schema: str, chunk_rows: int
+    queries: DataFrame, visiting: DataFrame, cells: Cells, fn, schema: str, chunk_rows: int,
+    carry: tuple[str, ...] = ("uid", "vec"),
 ) -> DataFrame:
     """Run ``fn(queries, base)`` for every visited chunk, at most ~chunk_rows rows a side.
 
-    ``queries`` is (uid, vec), ``visiting`` (uid, cell, chunk). Where many queries visit a
-    chunk they are split by hash and the chunk is copied to each part.
+    ``queries`` is (uid, vec), ``visiting`` (uid, cell, chunk); ``carry`` names the columns that
+    both sides bring. Where many queries visit a chunk they are split by hash and the chunk is
+    copied to each part.
     """
     parts = visiting.groupBy("cell", "chunk").agg(
         F.ceil(F.count("*") / chunk_rows).cast("bigint").alias("parts")
@@ -315,13 +317,13 @@ def meet(
     left = (
         visiting.join(parts, ["cell", "chunk"])
         .withColumn("part", F.pmod(F.xxhash64("uid"), "parts"))
-        .join(queries.select("uid", "vec"), "uid")
-        .select("uid", "vec", "cell", "chunk", "part")
+        .join(queries.select(*carry), "uid")
+        .select(*carry, "cell", "chunk", "part")
     )
     # renamed for the cogroup: both sides may come from the same table
     held = cells.base.join(parts, ["cell", "chunk"])
     right = held.select(
-        *[F.col(c).alias(c) for c in ("uid", "vec", "cell", "chunk")],
+        *[F.col(c).alias(c) for c in (*carry, "cell", "chunk")],
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
     )
     keys = ["cell", "chunk", "part"]
