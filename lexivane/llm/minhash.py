@@ -333,9 +333,9 @@ s AS (SELECT doc_id, list_distinct(CASE WHEN len(t) >= 4 THEN [array_to_string(t
   WHEN len(t) > 0 THEN [array_to_string(t, ' ')] ELSE [] END) AS sh FROM w),
 n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles FROM s),
 e AS (SELECT doc_id, unnest(sh) AS x FROM s),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e a JOIN e b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM e a JOIN e b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
 l AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
-  WHERE 100 * both >= 80 * (na.n_shingles + nb.n_shingles - both)),
+  WHERE 100 * met >= 80 * (na.n_shingles + nb.n_shingles - met)),
 r AS (SELECT doc_id AS d, doc_id AS reach FROM w UNION SELECT d, b FROM r JOIN l ON reach = a)
 SELECT doc_id, n_shingles, min(reach) AS component_id, doc_id = min(reach) AS kept
 FROM n JOIN r ON d = doc_id GROUP BY doc_id, n_shingles"""

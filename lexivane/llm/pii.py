@@ -92,7 +92,7 @@ def find(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[str, in
                 continue
             numbers_end = NUMBERS.match(text, at).end()
             for m in IP.finditer(text, at, numbers_end):
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                if all(len(d) <= 3 and int(d or "0") <= 255 for d in (p.lstrip("0") for p in m[0].split("."))):
                     out.append(("ip", *m.span()))
             for m in CARD.finditer(text, at, numbers_end):
                 d = _digits(m[0])

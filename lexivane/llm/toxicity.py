@@ -21,8 +21,10 @@ from .common import query, remainder, table
 SIZES = (3, 4, 5)
 BITS = 20
 SAMPLE_ROWS = 8192
-LEAST_EVIDENCE = 20.0
+EVIDENCE = (6.0, 10.0, 14.0, 20.0)  # a model each; few labels do not tell which is best
 LEAST_RATIO = 1.0
+RIDGE = 1.0
+ROUNDS = 100
 THRESHOLD = 0.7
 
 
@@ -120,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     kept = (
         counted.filter((F.col("a") + F.col("b")) < n0 + n1)
         .select("f", evidence.alias("g"), rate.alias("r"))
-        .filter((F.col("g") >= LEAST_EVIDENCE) & (F.abs("r") >= LEAST_RATIO))
+        .filter((F.col("g") >= min(EVIDENCE)) & (F.abs("r") >= LEAST_RATIO))
         .orderBy("f").toPandas()
     )
     if not len(kept):
@@ -140,14 +142,21 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     rows_in = texts.mapInArrow(present, "ids binary, y int").collect()
     ids = [np.frombuffer(r["ids"], np.int32) for r in rows_in]
     y = np.array([r["y"] for r in rows_in], np.float64)
-    return Model(features, *_regress(ids, y, ratio))
-
-
-def _regress(ids: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: float = 1e-3,
-             rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Weights (already times the ratios) and bias of a class-balanced logistic regression."""
     row = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) for i in ids])
-    col = np.concatenate(ids)
+    col, evidence = np.concatenate(ids), kept["g"].to_numpy(np.float64)
+    weights, bias = np.zeros(len(features)), 0.0
+    for least in EVIDENCE:
+        some = evidence >= least
+        at, own = np.cumsum(some) - 1, some[col]
+        w, b = _regress(row[own], at[col[own]], y, ratio[some])
+        weights[some] += w / len(EVIDENCE)
+        bias += b / len(EVIDENCE)
+    return Model(features, weights, bias)
+
+
+def _regress(row: np.ndarray, col: np.ndarray, y: np.ndarray, ratio: np.ndarray, l2: float = RIDGE,
+             rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Weights (already times the ratios) and bias of a class-balanced logistic regression."""
     value = ratio[col]
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
     w, bias = np.zeros(len(ratio)), 0.0

@@ -328,6 +328,27 @@ def spelling_variants(docs: DataFrame, key: str = "doc_id", text: str = "text",
     )
 
 
-@query("op11_variants")
+SQL = rf"""
+WITH RECURSIVE r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')), '{UPPER}', '{LOWER}') AS run FROM documents),
+u AS (SELECT doc_id, run, count(*) AS c FROM r GROUP BY ALL),
+b AS (SELECT run, c, hex(encode(doc_id || ':' || run)) AS x FROM u),
+h AS (SELECT run, c, xor(4294967295, list_reduce(
+    [4294967295] || [CAST('0x' || x[2 * i + 1 : 2 * i + 2] AS BIGINT) FOR i IN range(length(x) // 2)],
+    lambda s, y: list_reduce([xor(s, y)] || range(8), lambda t, k: xor(t >> 1, 3988292384 * (t & 1))))) AS h FROM b),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+d AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT d.word, v.word AS near FROM d JOIN v ON rest = v.word UNION SELECT v.word, d.word FROM d JOIN v ON rest = v.word
+  UNION SELECT x.word, y.word FROM d x JOIN d y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word),
+g AS (SELECT p.word, near, n, count(*) OVER (PARTITION BY p.word) AS n_near, row_number() OVER (PARTITION BY p.word ORDER BY n DESC, near) AS r
+  FROM p JOIN v ON near = v.word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN g.n >= 10 * v.n THEN near END AS form, CASE WHEN g.n >= 10 * v.n THEN g.n END AS form_n
+  FROM v LEFT JOIN g ON v.word = g.word AND r = 1),
+c AS (SELECT word, word AS root FROM f UNION ALL SELECT c.word, form FROM c JOIN f ON root = f.word WHERE form IS NOT NULL),
+e AS (SELECT c.word, root FROM c JOIN f ON root = f.word WHERE form IS NULL)
+SELECT f.word, n, n_near, form, form_n, root FROM f JOIN e ON f.word = e.word"""
+
+
+@query("op11_variants", SQL)
 def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))

@@ -9,7 +9,8 @@ import pyarrow as pa
 import pytest
 
 from lexivane.llm import contamination, minhash, packing, pii, toxicity
-from lexivane.llm.common import QUERIES
+from lexivane.llm.common import ORACLE, QUERIES
+from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,7 +58,7 @@ def base_spans(text):
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
         out.append((m.start(), 0, f"email:{m.start()}:{m.end()}"))
     for m in re.finditer(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
-        if all(len(p) < 1000 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int("0" + p.lstrip("0")) <= 255 for p in m[0].split(".")):
             out.append((m.start(), 1, f"ip:{m.start()}:{m.end()}"))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         d = re.sub("[^0-9]", "", m[0])
@@ -87,6 +88,7 @@ def test_pii_hard_cases():
         "a@b@c.de x@y.z@q.com @x.y .@a.b a@b. a@b..c x@-.-", "1.2.3.4.5.6.7.8 1.2.3.256 01.002.3.4 ...1.2.3.4",
         "4111 1111 1111 1111 4111-1111-1111-1111-2 4111  1111", "+1 (234) 567-8901. ++12345678901 +1+234567890123 +49.",
         "+4111111111111111", "", "é@é.é a@é.b ٣.٣.٣.٣", "9" * 5000 + " 1.1.1." + "9" * 5000,
+        "1.2.3." + "0" * 5000 + "1", "0" * 5000 + ".0.0.255 " + "0" * 5000 + ".0.0.256",
     ):
         got = [s for s in pii.find(text, found) if s[0] in pii.BASE]
         assert pii.written(got) == base_spans(text), text
@@ -281,6 +283,11 @@ def test_packing_odd(spark, odd, none):
     assert packing.pack(odd.filter("doc_id = 6"), packing.word_bpe()).count() == 2
 
 
+@pytest.mark.parametrize("name", ["op7_decontamination", "op9_minhash"])
+def test_against_sql(spark, name):
+    assert compare(spark, connect(SF), SF, QUERIES[name], ORACLE[name]) is None
+
+
 # --- toxicity ------------------------------------------------------------------------
 
 
@@ -297,6 +304,36 @@ def test_toxicity_held_out(spark):
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.95
 
 
+def test_toxicity_against_plain(spark):
+    """Counts, ratios and the choice of n-grams, and scores as sums, each computed again in plain Python."""
+    texts = [(i, f"good words here number {i % 7} and {'vile awful slur' if i % 4 == 0 else 'kind calm reply'} {i}") for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    marks = [(i, int(i % 4 == 0)) for i, _ in texts]
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    learned = [(set(toxicity.ngrams(t).tolist()), y) for (i, t), (_, y) in zip(texts, marks) if zlib.crc32(str(i).encode()) % 3 != 1]
+    n = [sum(y == c for _, y in learned) for c in (0, 1)]
+    kept = {}
+    for f in set().union(*(s for s, _ in learned)):
+        k = [sum(f in s for s, y in learned if y == c) for c in (0, 1)]
+        both = sum(k) / sum(n)
+        if both == 1:
+            continue
+        g = 2 * sum(
+            (k[c] * np.log(k[c] / n[c] / both) if k[c] else 0)
+            + ((n[c] - k[c]) * np.log((1 - k[c] / n[c]) / (1 - both)) if k[c] < n[c] else 0) for c in (0, 1)
+        )
+        r = np.log((k[1] + 0.5) / (n[1] + 1)) - np.log((k[0] + 0.5) / (n[0] + 1))
+        if g >= min(toxicity.EVIDENCE) and abs(r) >= toxicity.LEAST_RATIO:
+            kept[f] = r
+    assert model.features.tolist() == sorted(kept)
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    assert all(weight[f] * r >= 0 for f, r in kept.items())  # each n-gram speaks for the class it is found in
+    for row in toxicity.score(docs, model).collect():
+        z = model.bias + sum(weight.get(f, 0.0) for f in set(toxicity.ngrams(texts[row.doc_id][1]).tolist()))
+        assert row.score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        assert row.predicted == int(row.doc_id % 4 == 0)
+
+
 def test_toxicity_odd(spark, odd, none):
     labels = spark.createDataFrame([(8, 1), (4, 0), (None, 1), (5, None), (9, 7)], "doc_id long, toxic int")
     for known in (labels, labels.limit(0), labels.filter("toxic = 1"), labels.filter("toxic = 0")):

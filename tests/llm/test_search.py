@@ -18,7 +18,7 @@ from tests.oracle import compare, connect
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op12_filter_audit", "op13_topk"])
+@pytest.mark.parametrize("name", ["op11_variants", "op12_filter_audit", "op13_topk"])
 def test_against_sql(spark, name):
     assert compare(spark, connect(SF), SF, QUERIES[name], ORACLE[name]) is None
 
