@@ -368,13 +368,16 @@ def _pivot_search(
     others = meet(asked, rest, cells, best, schema, chunk_rows)
     found = _keep_best(own.unionByName(others), want)
 
+    each = expand_copies(found, units, members(queries, asking), want)
+    return each.filter(F.col("qid") != F.col("bid")) if exclude_self else each
+
+
+def expand_copies(found: DataFrame, units: DataFrame, member: DataFrame, want: int) -> DataFrame:
+    """(qid, bid, distance) between rows from hits between distinct vectors, the ``want`` best of each."""
     copies = units.select(F.col("uid").alias("bid"), "ids")
     spread = found.join(copies, "bid").select("qid", F.explode("ids").alias("bid"), "distance")
     spread = _keep_best(spread, want).withColumnRenamed("qid", "uid")
-    each = spread.join(members(queries, asking), "uid").select(
-        F.col("id").alias("qid"), "bid", "distance"
-    )
-    return each.filter(F.col("qid") != F.col("bid")) if exclude_self else each
+    return spread.join(member, "uid").select(F.col("id").alias("qid"), "bid", "distance")
 
 
 def metric_bound(d, metric: Metric):

@@ -17,9 +17,10 @@ from .embed import word_vectors
 from .neighbours import BROADCAST_BYTES, Metric, clean, fits, knn
 from .reduce import fit_projection, project
 from .terms import (
-    MAX_FEATURES, MIN_DF, SEED_BOOST, TOP_WORDS, class_weights, group_counts, term_arrays,
+    MAX_FEATURES, MIN_DF, SEED_BOOST, TOP_WORDS, class_weights, term_arrays,
     top_terms, vocabulary,
 )
+from .termcounts import frequent_counts
 from .topics import centroids, topic_frequency
 
 ZERO_SHOT_SIMILARITY = 0.3
@@ -200,8 +201,9 @@ class TopicModel:
     def terms(self, docs: DataFrame, assignment: DataFrame) -> dict[str, DataFrame]:
         """Vocabulary and ranked topic terms for stored assignments, without a new fit."""
         labelled = docs.select("doc_id", "text").join(assignment.select("doc_id", "topic"), "doc_id")
-        arrays = term_arrays(labelled, self.stop_words, self.ngrams, tokenizer=self.tokenizer)
-        counts = durable(group_counts(arrays, "topic"))
+        words = term_arrays(labelled, self.stop_words, 1, tokenizer=self.tokenizer)
+        words = durable(words.select("topic", "terms"))  # read twice
+        counts = durable(frequent_counts(words, "topic", high=self.ngrams, min_df=self.min_df))
         vocab = durable(vocabulary(counts, self.min_df, self.max_features, self.df_scope))
         weights = class_weights(counts, vocab, self.seeds, self.boost)
         ranked = top_terms(weights, self.top_words)

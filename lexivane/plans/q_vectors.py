@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import density, embed, neighbours, reduce, terms, topicmodel, topics
+from ..operators import (
+    density, embed, forest, neighbours, reduce, spanning, spectral, terms, topicmodel, topics,
+)
 from ..session import durable, spread, work_dir
+from ..sources.corpus import with_row_index
 from .common import (
     VECTORS_SQL, classed, docs, grams_sql, hashed_sql, query, stop_words, table, texts, vectors,
 )
@@ -167,6 +170,57 @@ def m02_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce.with_coordinates(points(spark, sf_dir), 2).select("doc_id", "proj_x", "proj_y")
 
 
+# --- approximate neighbours and what keeps neighbourhoods ------------------------------
+
+
+@query("j13_neighbours_by_forest")
+def j13_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.approximate_knn(points(spark, sf_dir), 15)
+
+
+@query(
+    "j13_forest_recall",
+    """SELECT count(*) AS searched, count(*) * least(15, count(*) - 1) AS found, true AS nine_of_ten,
+              true AS distances_hold FROM embeddings""",
+)
+def j13_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The approximate search measured against the exact one over the whole table."""
+    found, exact = durable(forest.approximate_knn(points(spark, sf_dir), 15)), durable(nearest(spark, sf_dir))
+    both = found.join(exact.withColumnRenamed("distance", "true"), ["id", "neighbour"])
+    share = forest.recall(found, exact).first()["recall"]
+    worst = both.agg(F.max(F.abs(F.col("distance") - F.col("true")))).first()[0]
+    return found.agg(
+        F.count_distinct("id").alias("searched"), F.count("*").alias("found"),
+        F.lit(share >= 0.9).alias("nine_of_ten"), F.lit(worst < 2e-9).alias("distances_hold"),
+    )
+
+
+@query("m01_graph_coordinates")
+def m01_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = spectral.with_graph_coordinates(points(spark, sf_dir), 3)
+    return placed.select("doc_id", "proj_x", "proj_y", "proj_z")
+
+
+@query(
+    "m02_graph_axes",
+    """SELECT axis, count(*) AS placed, true AS residual_small, true AS eigenvalue_fits, true AS centred
+       FROM embeddings, (SELECT unnest(range(10)) AS axis) GROUP BY axis""",
+)
+def m02_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten axes of the neighbour graph, each with what must hold for an eigenvector."""
+    rows, found = spectral.graph_coordinates(points(spark, sf_dir), 10)
+    facts = spark.createDataFrame(
+        [(i, r < spectral.TOLERANCE, -1 <= v < 1 + 1e-9) for i, (v, r) in enumerate(zip(found.eigenvalues, found.residuals))],
+        "axis long, residual_small boolean, eigenvalue_fits boolean",
+    )
+    each = rows.select(F.posexplode("axes").alias("axis", "x")).groupBy(F.col("axis").cast("long").alias("axis")).agg(
+        F.count("*").alias("placed"),
+        # orthogonal to the trivial vector, so both signs occur
+        (F.min("x") * F.max("x") < 0).alias("centred"),
+    )
+    return each.join(facts, "axis")
+
+
 @query("m03_neighbour_graph")
 def m03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.neighbour_graph(nearest(spark, sf_dir), 15)
@@ -198,6 +252,59 @@ def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+UNEQUAL_SQL = """
+SELECT vec_id AS doc_id, [CAST(x AS DOUBLE) * (0.05 + 0.03 * label) + CASE WHEN i - 1 = label THEN 1.0 ELSE 0.0 END
+                          FOR x, i IN embedding] AS v FROM embeddings"""
+
+
+def unequal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups on the axes of their labels, from tight to wide: no radius suits all of them."""
+    moved = F.transform(
+        "embedding",
+        lambda x, i: x.cast("double") * (0.05 + 0.03 * F.col("topic"))
+        + F.when(i == F.col("topic"), 1.0).otherwise(0.0),
+    )
+    return vectors(spark, sf_dir).select("doc_id", moved.alias("embedding"))
+
+
+@query(
+    "m04_excess_of_mass",
+    """SELECT vec_id AS doc_id, coalesce(t.topic, -1) AS topic FROM embeddings LEFT JOIN (
+         SELECT label, row_number() OVER (ORDER BY count(*) DESC, min(vec_id)) - 1 AS topic
+         FROM embeddings GROUP BY label HAVING count(*) >= 10) t USING (label)""",
+)
+def m04_eom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.density_clusters(unequal(spark, sf_dir), min_cluster_size=10, min_samples=3)
+
+
+@query(
+    "m04_spanning_tree",
+    f"""WITH RECURSIVE p AS ({UNEQUAL_SQL}),
+        d AS (SELECT a.doc_id AS a, b.doc_id AS b, round(list_distance(a.v, b.v), 9) AS d
+              FROM p a JOIN p b ON a.doc_id <> b.doc_id),
+        c AS (SELECT a, max(d) AS core FROM (
+                SELECT a, d, row_number() OVER (PARTITION BY a ORDER BY d) AS r FROM d) WHERE r <= 5 GROUP BY a),
+        m AS (SELECT d.a, d.b, greatest(d.d, x.core, y.core) AS w FROM d JOIN c x ON d.a = x.a JOIN c y ON d.b = y.a),
+        -- grow the tree from the first point: by step, every point's least weight to the tree
+        t AS (SELECT 0 AS step, doc_id, doc_id = (SELECT min(doc_id) FROM p) AS inside, NULL::DOUBLE AS came,
+                     CASE WHEN doc_id = (SELECT min(doc_id) FROM p) THEN NULL ELSE m.w END AS w
+              FROM p LEFT JOIN m ON m.a = doc_id AND m.b = (SELECT min(doc_id) FROM p)
+              UNION ALL
+              SELECT n.step + 1, n.doc_id, n.inside OR n.doc_id = n.next,
+                     CASE WHEN n.doc_id = n.next THEN n.w ELSE n.came END, least(n.w, m.w)
+              FROM (SELECT *, first_value(doc_id) OVER (ORDER BY inside, w, doc_id) AS next,
+                           bool_and(inside) OVER () AS full FROM t) n
+              LEFT JOIN m ON m.a = n.doc_id AND m.b = n.next WHERE NOT n.full)
+        SELECT row_number() OVER (ORDER BY came) AS place, round(came, 6) AS weight FROM t
+        WHERE step = (SELECT max(step) FROM t) AND came IS NOT NULL""",
+)
+def m04_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights of the spanning tree in order; a tree's edges may differ, its weights not."""
+    tree = durable(spanning.spanning_tree(unequal(spark, sf_dir), 5).withColumn("edge", F.concat_ws(" ", "a", "b")))
+    placed = with_row_index(tree, ["weight", "edge"], "edge", "place")
+    return placed.select((F.col("place") + 1).alias("place"), F.round("weight", 6).alias("weight"))
+
+
 @query("m05_centre_clusters")
 def m05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.centre_clusters(planted(spark, sf_dir), 10)
@@ -228,6 +335,18 @@ def m06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model(spark, sf_dir).fit(rows)["assignment"]
 
 
+@query("m06_density_topics", PLANTED_SQL)
+def m06_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model as it is run by default: ten axes, clusters by excess of mass, noise as topic -1."""
+    rows = durable(planted(spark, sf_dir).join(docs(spark, sf_dir).select("doc_id", "text"), "doc_id", "left").fillna("", ["text"]))
+    stages = topicmodel.TopicModel(
+        reduce=topicmodel.reduce_with_pca(10),
+        cluster=lambda reduced: density.density_clusters(reduced, min_cluster_size=10, min_samples=3),
+        stop_words=stop_words(spark, sf_dir),
+    )
+    return stages.fit(rows)["assignment"].select("doc_id", "topic")
+
+
 @query("k11_model_round_trip")
 def k11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load, and assign with the loaded centroids."""
