@@ -10,13 +10,14 @@ then takes the documents of its lengths by their rank.
 
 from __future__ import annotations
 
-import itertools
 import os
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import durable
@@ -26,6 +27,7 @@ SEQUENCE = 4096
 GRID = 16
 END_ID = 2
 RANK_SALTS = 64
+LOWER = "abcdefghijklmnopqrstuvwxyz"
 ROUNDS = 4000
 
 
@@ -104,6 +106,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int
     return out + [(1, dict(held)) for _, held in opened]
 
 
+KNOWN_WORDS = 1 << 19  # words whose ids a task keeps
+MARKS = ",.;:!?"
+
+
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -111,20 +117,51 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def token_ids(texts: pa.Array, model) -> tuple[np.ndarray, np.ndarray]:
-    """(ids per text, ids of all texts) for a tokenizer whose tokens never span white space.
+class Encoder:
+    """Ids of texts by a tokenizer whose tokens never span white space.
 
-    Each distinct run of other characters is encoded once, which saves most of the work.
+    Each distinct run of other characters is encoded once a task, which saves most of the work. Runs
+    are made alike first where the tokenizer itself does so: in lower case, and without marks
+    at their end. Both are tried out on the tokenizer, and left alone if it tells them apart.
     """
-    lens, codes, words = words_of(texts, lower=False)
-    coded = [e.ids for e in model.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
-    size = np.fromiter(map(len, coded), np.int64, len(coded))
-    every = np.fromiter(itertools.chain.from_iterable(coded), np.uint32, int(size.sum()))
-    begin = np.cumsum(size) - size
-    each = size[codes]
-    at = np.repeat(begin[codes] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
-    ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(lens)] if len(lens) else np.zeros(0, np.int64)
-    return np.diff(np.concatenate([[0], ends])), every[at]
+
+    def __init__(self, path: str):
+        self.model = tokenizer(path)
+        self.known: dict[str, bytes] = {}
+        normal, parts = self.model.normalizer, self.model.pre_tokenizer
+        letters = LOWER.upper() + LOWER
+        self.lowers = normal is not None and normal.normalize_str(letters) == LOWER * 2
+        self.parts_marks = parts is not None and all(
+            [p for p, _ in parts.pre_tokenize_str(letter + m + n)] == [letter, m + n]
+            for letter in LOWER for m in MARKS for n in ("", *MARKS)
+        )
+
+    def alike(self, texts: pa.Array) -> pa.Array:
+        texts = pc.fill_null(texts, "")
+        if self.lowers:
+            texts = pc.ascii_lower(texts)
+        if self.parts_marks:
+            ends = f"([a-z])([{MARKS}]+)([ \\t-\\r]|$)"
+            texts = pc.replace_substring_regex(texts, ends, r"\1 \2\3")
+        return texts
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per text, ids of all texts)."""
+        lens, codes, words = words_of(self.alike(texts), lower=False)
+        words = words.to_pylist()
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        for w, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
+            self.known[w] = array("I", e.ids).tobytes()
+        coded = [self.known[w] for w in words]
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        every = np.frombuffer(b"".join(coded), np.uint32)
+        begin = np.cumsum(size) - size
+        each = size[codes]
+        at = np.repeat(begin[codes] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
+        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(lens)] if len(lens) else np.zeros(0, np.int64)
+        return np.diff(np.concatenate([[0], ends])), every[at]
 
 
 def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, with_ids: bool = False,
@@ -135,11 +172,11 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, with_ids: bool
     """
 
     def run(batches):
-        model = tokenizer(path)
+        encoder = Encoder(path)
         for batch in slices(batches, 2, 8 << 20):
             keys, rows, texts = (batch.column(i) for i in range(3))
             at, start, length, crc, total, kept = [], [], [], [], [], []
-            sizes, flat = token_ids(texts, model)
+            sizes, flat = encoder.ids(texts)
             for k, (n, end) in enumerate(zip(sizes.tolist(), np.cumsum(sizes).tolist())):
                 ids = np.append(flat[end - n : end], np.uint32(END_ID)).astype("<u4")
                 for s in range(0, len(ids), sequence):

@@ -254,7 +254,11 @@ def test_token_ids_by_word_equal_those_of_whole_texts():
     model = packing.tokenizer(packing.word_bpe())
     texts = ["", "  ", "Don't  stop\u00a0now, caf\u00e9 cafe\u0301 \u0301x \u2028y", "a<|endoftext|>b <|startoftext|> c", "\u03a3\u03a3 \u03a3. \u0130\u1e9e \ufb01",
              "\U0001f600\U0001f468\u200d\U0001f469 x\x1cy\x0bz\x85w", "1234 5,6", None, "\x00 \x01"] + ["word \n\t ing's"] * 3
-    sizes, flat = packing.token_ids(pa.array(texts, pa.string()), model)
+    encoder = packing.Encoder(packing.word_bpe())
+    assert encoder.lowers and encoder.parts_marks
+    texts += ["Hello, World!? don't \u00c9a, A\u030a. x\u0301, a,\u0301 b.\x0bC;\nend.", "DOG'S a.b. ...z ab,cd, (x)!", "K\u0130. \u03a3A\u03a3, 12. A1."]
+    for _ in range(2):  # the second time from what it knows
+        sizes, flat = encoder.ids(pa.array(texts, pa.string()))
     assert [x.tolist() for x in np.split(flat, np.cumsum(sizes))[:-1]] == [model.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
