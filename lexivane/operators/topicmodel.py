@@ -5,8 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import tokens
 from ..functions.vector import bind, cosine
@@ -16,11 +19,11 @@ from .density import NOISE, centre_clusters, density_clusters
 from .embed import word_vectors
 from .neighbours import BROADCAST_BYTES, Metric, clean, fits, knn
 from .reduce import fit_projection, project
+from .termcounts import frequent_counts
 from .terms import (
     MAX_FEATURES, MIN_DF, SEED_BOOST, TOP_WORDS, class_weights, term_arrays,
     top_terms, vocabulary,
 )
-from .termcounts import frequent_counts
 from .topics import centroids, topic_frequency
 
 ZERO_SHOT_SIMILARITY = 0.3
@@ -80,38 +83,47 @@ def _blocks(base: DataFrame, budget: int) -> list[DataFrame]:
 
 
 def similarities(
-    queries: DataFrame, base: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    queries: DataFrame, base: DataFrame, broadcast_bytes: int = BROADCAST_BYTES,
+    blocks: list[DataFrame] | None = None,
 ) -> DataFrame:
     """(id, block, scores) with ``scores`` an array of (id, similarity) over one block of base.
 
-    Both sides are (id, vec). The result has one row per query and block, not per pair.
+    Both sides are (id, vec). The result has one row per query and block, not per pair. ``blocks``
+    are those of the base, if the caller has them already.
     """
-    metric = Metric("cosine")
     spark = queries.sparkSession
     kind = queries.schema["id"].dataType.simpleString()
     other = base.schema["id"].dataType.simpleString()
     schema = f"id {kind}, block int, scores array<struct<id:{other},similarity:double>>"
+    ids_type = to_arrow_type(base.schema["id"].dataType)
     out = None
-    for number, block in enumerate(_blocks(base, broadcast_bytes)):
+    for number, block in enumerate(_blocks(base, broadcast_bytes) if blocks is None else blocks):
         rows = sorted(block.collect())
         if not rows:
             continue
         ids = [r["id"] for r in rows]
-        shared = spark.sparkContext.broadcast((ids, metric.prepare([r["vec"] for r in rows])))
+        shared = spark.sparkContext.broadcast((ids, Metric("cosine").prepare([r["vec"] for r in rows])))
 
-        def score(batches: Iterator[pd.DataFrame], shared=shared, number=number):
+        def score(batches: Iterator[pa.RecordBatch], shared=shared, number=number):
             ids, b = shared.value
+            names = pa.array(ids, ids_type)
             step = max(1, (1 << 20) // len(ids))
             for batch in batches:
-                for i in range(0, len(batch), step):
-                    pdf = batch.iloc[i : i + step]
-                    s = metric.prepare(pdf["vec"]) @ b.T
-                    scores = [
-                        [{"id": a, "similarity": x} for a, x in zip(ids, row)] for row in s.tolist()
-                    ]
-                    yield pd.DataFrame({"id": pdf["id"], "block": number, "scores": scores})
-
-        part = queries.mapInPandas(score, schema)
+                for i in range(0, batch.num_rows, step):
+                    part = batch.slice(i, step)
+                    flat = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                    q = flat.reshape(part.num_rows, -1)
+                    s = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ b.T
+                    pairs = pa.StructArray.from_arrays(
+                        [names.take(pa.array(np.tile(np.arange(len(ids)), len(s)))), pa.array(s.ravel())], ["id", "similarity"]
+                    )
+                    cuts = pa.array(np.arange(len(s) + 1, dtype=np.int32) * len(ids))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(np.full(len(s), number, np.int32)), pa.ListArray.from_arrays(cuts, pairs)],
+                        names=["id", "block", "scores"],
+                    )
+
+        part = queries.select("id", "vec").mapInArrow(score, schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
@@ -122,8 +134,9 @@ def topic_probabilities(
     """(doc_id, probabilities): softmax of the similarities to all topics, one row per doc."""
     m = Metric("cosine")
     base = clean(centres.filter(F.col("topic") >= 0), "topic", "centroid", m)
-    scored = similarities(clean(docs, "doc_id", "embedding", m), base, broadcast_bytes)
-    if fits(base, broadcast_bytes):  # one block: every row has all its scores already
+    blocks = _blocks(base, broadcast_bytes)
+    scored = similarities(clean(docs, "doc_id", "embedding", m), base, broadcast_bytes, blocks)
+    if len(blocks) == 1:  # every row has all its scores already
         rows = scored.select("id", "scores")
     else:
         rows = scored.groupBy("id").agg(F.flatten(F.collect_list("scores")).alias("scores"))
@@ -259,6 +272,19 @@ def load_model(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return load_tables(spark, path, MODEL_TABLES)
 
 
+def load_or_fit(
+    spark: SparkSession, path: str, fit: Callable[[], dict[str, DataFrame]]
+) -> dict[str, DataFrame]:
+    """The model saved at a path; if there is none, or not all of it, that of ``fit()``, saved there."""
+    try:
+        return load_model(spark, path)
+    except AnalysisException as missing:  # a table that was never written, or not to its end
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    save_model(fit(), path)
+    return load_model(spark, path)
+
+
 CLUSTERERS: dict[str, Callable[..., DataFrame]] = {
     "density": density_clusters,
     "centres": centre_clusters,

@@ -117,6 +117,32 @@ def p11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.groupBy("provider", "problem").agg(F.count("*").alias("n"))
 
 
+@query(
+    "p11_all_rules",
+    """SELECT vec_id AS doc_id, CASE vec_id % 7 WHEN 1 THEN 'missing' WHEN 2 THEN 'empty' WHEN 3 THEN 'null element'
+              WHEN 4 THEN 'not a number' WHEN 5 THEN 'dimension' WHEN 6 THEN 'zero' ELSE 'none' END AS problem
+       FROM embeddings""",
+)
+def p11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six of seven vectors are damaged, each in a way that one rule has to find."""
+    v, kind = F.col("v"), F.col("vec_id") % 7
+    first = lambda value: F.transform(v, lambda x, i: F.when(i == 0, value).otherwise(x))
+    damaged = (
+        F.when(kind == 1, F.lit(None))
+        .when(kind == 2, F.slice(v, 1, 0))
+        .when(kind == 3, first(F.lit(None).cast("double")))
+        .when(kind == 4, first(F.lit(float("nan"))))
+        .when(kind == 5, F.slice(v, 1, 63))
+        .when(kind == 6, F.transform(v, lambda x: x * 0.0))
+        .otherwise(v)
+    )
+    rows = table(spark, sf_dir, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
+    return rows.select(
+        F.col("vec_id").alias("doc_id"),
+        F.coalesce(vector.vector_problem(damaged, 64), F.lit("none")).alias("problem"),
+    )
+
+
 @query(
     "p12_allowed_hours",
     """SELECT event_id, hour(ts) >= 19 OR hour(ts) < 7 AS night, hour(ts) >= 7 AND hour(ts) < 19 AS day,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import (
-    density, embed, forest, neighbours, reduce, spanning, spectral, terms, topicmodel, topics,
+    agglomerate, density, embed, forest, neighbours, reduce, spanning, spectral, terms, topicmodel, topics,
 )
 from ..session import durable, spread, work_dir
 from ..sources.corpus import with_row_index
@@ -170,6 +170,29 @@ def m02_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce.with_coordinates(points(spark, sf_dir), 2).select("doc_id", "proj_x", "proj_y")
 
 
+@query(
+    "m17_merge_tree",
+    f"""WITH RECURSIVE m AS (SELECT a, b, sqrt(greatest(2 - 2 * similarity, 0)) AS d FROM ({MATRIX_SQL}) WHERE a <> b),
+        -- single linkage merges at the weights of the spanning tree: grow it from the first topic
+        t AS (SELECT 0 AS step, a AS topic, false AS inside, NULL::DOUBLE AS came, d AS w FROM m WHERE b = (SELECT min(b) FROM m)
+              UNION ALL
+              SELECT n.step + 1, n.topic, n.inside OR n.topic = n.next, CASE WHEN n.topic = n.next THEN n.w ELSE n.came END,
+                     least(n.w, m.d)
+              FROM (SELECT *, first_value(topic) OVER (ORDER BY inside, w, topic) AS next, bool_and(inside) OVER () AS done FROM t) n
+              LEFT JOIN m ON m.a = n.topic AND m.b = n.next WHERE NOT n.done)
+        SELECT row_number() OVER (ORDER BY came) - 1 AS step, round(came, 6) AS distance
+        FROM t WHERE step = (SELECT max(step) FROM t)""",
+)
+def m17_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At which distances topics merge by single linkage; other linkages are tested on small data."""
+    matrix = topicmodel.topic_matrix(durable(topics.centroids(vectors(spark, sf_dir))))
+    apart = topicmodel.merge_order(matrix).withColumn(
+        "distance", F.sqrt(F.greatest(2 * F.col("distance"), F.lit(0.0)))
+    )
+    tree = agglomerate.merge_tree(apart, "single")
+    return tree.select("step", F.round("distance", 6).alias("distance"))
+
+
 # --- approximate neighbours and what keeps neighbourhoods ------------------------------
 
 
@@ -358,6 +381,26 @@ def k11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topicmodel.assign(rows, loaded["centroids"]).join(names, "topic", "left")
 
 
+@query(
+    "k11_load_or_fit",
+    """SELECT vec_id AS doc_id, 1 AS fits, true AS same FROM embeddings""",
+)
+def k11_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Asked for twice, a model is fitted once; its assignments are the same before and after loading."""
+    rows = durable(planted(spark, sf_dir).join(docs(spark, sf_dir).select("doc_id", "text"), "doc_id", "left").fillna("", ["text"]))
+    path, fits = work_dir(spark, "model"), []
+
+    def fit() -> dict[str, DataFrame]:
+        fits.append(model(spark, sf_dir).fit(rows))
+        return fits[-1]
+
+    topicmodel.load_or_fit(spark, path, fit)
+    loaded = topicmodel.load_or_fit(spark, path, fit)
+    fresh = topicmodel.assign(rows, fits[0]["centroids"]).select("doc_id", F.col("topic").alias("fresh"))
+    again = topicmodel.assign(rows, loaded["centroids"]).join(fresh, "doc_id")
+    return again.select("doc_id", F.lit(len(fits)).alias("fits"), (F.col("topic") == F.col("fresh")).alias("same"))
+
+
 @query("u03_exchanged_stages")
 def u03(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same model with another reducer, clusterer and vectorizer scope."""
@@ -484,3 +527,23 @@ def u02(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     done = embed.embed_docs(spread(rows, "doc_id"), embed.make_embedder("long_words"))
     return done.groupBy("provider", "status").agg(F.count("*").alias("n"))
+
+
+@query(
+    "u02_registry_vectors",
+    f"""WITH {hashed_sql("(SELECT conv_id || '-' || turn AS doc_id, text FROM conversations)", 'doc_id', 128, 256)}
+        SELECT doc_id, n_chunks, CAST(dim AS BIGINT) AS dim, round(value, 6) AS value FROM pooled""",
+)
+def u02_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second embedder makes: its own dimensions, from chunks of its own length."""
+    embed.register_embedder("long_words", LongWords)
+    rows = table(spark, sf_dir, "conversations").select(
+        F.concat("conv_id", F.lit("-"), "turn").alias("doc_id"), "text"
+    )
+    done = embed.embed_docs(spread(rows, "doc_id"), embed.make_embedder("long_words"))
+    return (
+        done.filter("status = 'ok'")
+        .select("doc_id", "n_chunks", F.posexplode("embedding").alias("dim", "v"))
+        .filter("v <> 0")
+        .select("doc_id", "n_chunks", F.col("dim").cast("bigint").alias("dim"), F.round("v", 6).alias("value"))
+    )
