@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import durable
-from .common import query, slices, table, words_of
+from .common import give_back, query, slices, table, words_of
 
 SEQUENCE = 4096
 GRID = 16
@@ -106,7 +106,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int
     return out + [(1, dict(held)) for _, held in opened]
 
 
-KNOWN_WORDS = 1 << 19  # words whose ids a task keeps
+KNOWN_WORDS = 1 << 18  # words whose ids a task keeps
 MARKS = ",.;:!?"
 
 
@@ -172,6 +172,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, with_ids: bool
     """
 
     def run(batches):
+        give_back()  # the worker may have served an earlier stage
         encoder = Encoder(path)
         for batch in slices(batches, 2, 8 << 20):
             keys, rows, texts = (batch.column(i) for i in range(3))
@@ -194,6 +195,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, with_ids: bool
                 columns.append(pa.array(kept, pa.list_(pa.int64())))
             names = [key, "row", "start", "length", "ids_crc32", "doc_tokens", "ids"]
             yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+            give_back()
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long"
