@@ -143,11 +143,13 @@ def spectral_embedding(
     Rounds end when the residual of every axis is below ``tolerance`` or after ``rounds`` of them;
     the residuals are part of the result. Axes are scaled to variance 1 under the degrees and point
     to the side of their largest value. A graph of several components has an axis that tells
-    them apart first. Fewer nodes than axes give fewer axes.
+    them apart first. Fewer nodes than axes give fewer axes, a graph without edges no rows.
     """
     edges, roots = normalised(graph)
-    edges = edges.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     nodes = roots.count()
+    if not nodes:
+        return Embedding(roots.select("id", F.array().cast("array<double>").alias("axes")), [], [])
+    edges = edges.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     n = min(k + extra, max(nodes - 1, 1))
     x, y = _columns("x", n), _columns("s_x", n)
     block = roots.select("id", *[_start("id", i, seed).alias(c) for i, c in enumerate(x)])
