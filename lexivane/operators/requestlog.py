@@ -40,7 +40,8 @@ def trailing_counts(
     seen = running(placed, {"__seen": ("sum", 1 - F.col("kind"))}, key).filter("kind = 1")
     at = lambda name: F.max(F.when(F.col("of") == f"up_to_{name}", F.col("__seen")))
     counted = seen.groupBy("__row").agg(*((at("") - at(name)).alias(name) for name in seconds))
-    return log.join(counted.withColumnRenamed("__row", row), row).select(*log.columns, *seconds)
+    counted = counted.withColumnRenamed("__row", row).hint("merge")  # a row per request
+    return log.join(counted, row).select(*log.columns, *seconds)
 
 
 def breaches(counted: DataFrame, limits: dict[str, float]) -> DataFrame:

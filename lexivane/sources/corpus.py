@@ -115,7 +115,9 @@ def with_row_index(
     ``order`` lists columns, a leading ``-`` meaning descending. The ordering columns
     alone are range-partitioned, sorted and numbered inside their partition, then shifted
     by the sizes of the partitions before. Only the per-partition counts meet in one task.
-    Writing the numbers down pins the partition borders, which both uses must share.
+    Writing the numbers down pins the partition borders, which both uses must share. The
+    numbers are as many as the rows and compress to little on disk, so their join is a merge
+    join: by its size on disk either side would be broadcast.
     """
     names = [o.lstrip("-") for o in order]
     by = [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
@@ -137,7 +139,7 @@ def with_row_index(
     index = numbered.join(offsets, "__part").select(
         F.col("__key").alias(key), (F.col("__local") + F.col("__offset")).alias(name)
     )
-    return df.join(index, key)
+    return df.join(index.hint("merge"), key)
 
 
 def with_page_id(

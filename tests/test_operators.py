@@ -142,6 +142,14 @@ def test_trailing_window_is_open_at_its_start(spark):
     assert got == {i: min(i + 1, 60) for i in range(130)}
 
 
+def test_joins_of_every_row_are_not_broadcast(spark):
+    log = request_log(spark, [200] * 10)
+    plan = requestlog.trailing_counts(log, {"minute": 60})._jdf.queryExecution().toString()
+    assert "SortMergeJoin [event_id" in plan and "SortMergeJoin [cast(__id" in plan
+    plan = corpus.with_row_index(log, ["event_id"], "event_id")._jdf.queryExecution().toString()
+    assert "SortMergeJoin [event_id" in plan
+
+
 def test_gap_over_slices(spark):
     log = request_log(spark, [200] * 10)
     got = {r.event_id: r.gap_s for r in requestlog.previous_gap(log, rows=3).collect()}
