@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import terms, topics
-from ..operators.termcounts import frequent_counts
 from ..operators.topicmodel import TopicModel
 from ..session import durable
 from .common import (
@@ -14,16 +13,10 @@ from .common import (
 )
 
 
-def counts_of(spark: SparkSession, sf_dir: str, *groups: str) -> DataFrame:
-    """Counts by topic (and group) of the n-grams that may be frequent enough."""
-    words = terms.term_arrays(classed(spark, sf_dir), stop_words(spark, sf_dir), 1)
-    return frequent_counts(durable(words.select("topic", *groups, "terms")), "topic", *groups, min_df=terms.MIN_DF)
-
-
 def counted(spark: SparkSession, sf_dir: str, *groups: str) -> tuple[DataFrame, DataFrame]:
     """Term counts by topic (and group) and the vocabulary, written down for several uses."""
-    counts = durable(counts_of(spark, sf_dir, *groups))
-    return counts, durable(terms.vocabulary(counts))
+    words = terms.term_arrays(classed(spark, sf_dir), stop_words(spark, sf_dir), 1)
+    return terms.ranked_vocabulary(durable(words.select("topic", *groups, "terms")), "topic", *groups)
 
 
 def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +52,7 @@ def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
         HAVING count(DISTINCT doc_id) >= 6 ORDER BY f DESC, term LIMIT 100000""",
 )
 def a15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.vocabulary(counts_of(spark, sf_dir))
+    return counted(spark, sf_dir)[1]
 
 
 @query(

@@ -72,3 +72,42 @@ def test_hashes_follow_the_text():
     assert {"p", "p q", "q r", "p q r"} <= set(name(a)) and "r p" not in name(a)
     assert all(name(a)[k] == v for k, v in name(b).items() if k in name(a))
     assert a.row[a.start].tolist().count(3) == 3
+
+
+@pytest.mark.parametrize("scope", ["doc", "topic"])
+@pytest.mark.parametrize("most", [1, 7, 40, 300, 5000])
+def test_ranked_vocabulary(spark, scope, most):
+    rows, df = corpus(spark, random.Random(4), 60)
+    df = df.na.fill(-1, ["topic"])
+    rows = [(-1 if t is None else t, g, w) for t, g, w in rows]
+    want = terms.vocabulary(
+        terms.group_counts(terms.add_ngrams(df, "terms", "terms", 1, 3), "topic"), 3, most, scope
+    ).collect()
+    counts, vocab = termcounts.ranked_counts(
+        df, "topic", "lang", most=most, min_df=3, bits=9,
+        vocabulary=lambda c: terms.vocabulary(c, 3, most, scope),
+    )
+    assert {tuple(r) for r in vocab.collect()} == {tuple(r) for r in want} and want
+    chosen = {r.term for r in want}
+    got = {(r.topic, r.lang, r.term): (r.tf, r.docs) for r in counts.collect()}
+    whole = plain(rows, 3)
+    assert all(whole[k] == v for k, v in got.items())
+    assert {k for k in whole if k[2] in chosen} <= set(got)
+
+
+def test_bound_is_lowered_for_terms_that_are_not_let_in(spark):
+    # ten words are frequent in one row each; those of the vocabulary are rarer
+    rows = [(0, [f"often{i}"] * 50) for i in range(10)] + [(i % 2, ["a", "b", "c"][: 1 + i % 3]) for i in range(9)]
+    df = spark.createDataFrame(rows, "topic int, terms array<string>")
+    counts, vocab = terms.ranked_vocabulary(df, "topic", high=1, min_df=3, max_features=2)
+    assert {(r.term, r.f, r.df) for r in vocab.collect()} == {("a", 9, 9), ("b", 6, 6)}
+
+
+def test_rare_terms_stay_in_their_tasks(spark):
+    # 400 words in 7 rows each, 20 in 30, 8 in 90: a vocabulary of 8 needs no counts of the 400
+    times = {f"w{i}": 7 for i in range(400)} | {f"mid{i}": 30 for i in range(20)} | {f"top{i}": 90 for i in range(8)}
+    rows = [(i % 3, [w for w, n in times.items() if n > i]) for i in range(90)]
+    df = spark.createDataFrame(rows, "topic int, terms array<string>")
+    counts, vocab = terms.ranked_vocabulary(df, "topic", high=1, min_df=6, max_features=8)
+    assert {r.f for r in vocab.collect()} == {90} and vocab.count() == 8
+    assert counts.select("term").distinct().count() < 100
