@@ -11,6 +11,7 @@ then takes the documents of its lengths by their rank.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections import Counter
@@ -107,7 +108,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int
 
 
 KNOWN_WORDS = 1 << 18  # words whose ids a task keeps
-MARKS = ",.;:!?"
+MARKS = ",.;:!?#$%&*"
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"  # letters that stay what they are beside any other
+PLAIN = re.compile(f"[{LETTERS}]+").fullmatch
+JOINED = 256  # plain words in one text for the tokenizer
 
 
 def tokenizer(path: str):
@@ -122,12 +126,15 @@ class Encoder:
 
     Each distinct run of other characters is encoded once a task, which saves most of the work. Runs
     are made alike first where the tokenizer itself does so: in lower case, and without marks
-    at their end. Both are tried out on the tokenizer, and left alone if it tells them apart.
+    at their end. Runs of letters go to the tokenizer many at a time, where it ends each word by a
+    token that shows it. All this is tried out on the tokenizer, and left alone if it does otherwise.
+    Known runs are kept in two generations: what was not met again while one filled up is forgotten.
     """
 
     def __init__(self, path: str):
         self.model = tokenizer(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         normal, parts = self.model.normalizer, self.model.pre_tokenizer
         letters = LOWER.upper() + LOWER
         self.lowers = normal is not None and normal.normalize_str(letters) == LOWER * 2
@@ -135,6 +142,14 @@ class Encoder:
             [p for p, _ in parts.pre_tokenize_str(letter + m + n)] == [letter, m + n]
             for letter in LOWER for m in MARKS for n in ("", *MARKS)
         )
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        plain = [chr(c) for c in range(256) if PLAIN(chr(c))]
+        self.joins = bool(suffix) and parts is not None and all(
+            len(parts.pre_tokenize_str(f"{c}{c} {c}")) == 2 for c in plain
+        )
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        if self.joins:
+            self.ends[[i for t, i in self.model.get_vocab().items() if t.endswith(suffix)]] = True
 
     def alike(self, texts: pa.Array) -> pa.Array:
         texts = pc.fill_null(texts, "")
@@ -145,15 +160,38 @@ class Encoder:
             texts = pc.replace_substring_regex(texts, ends, r"\1 \2\3")
         return texts
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str]) -> None:
+        """Put the ids of all ``words`` into ``known``."""
+        if len(self.known) > KNOWN_WORDS // 2:
+            self.known, self.older = {}, self.known
+        known, older, plain, other = self.known, self.older, [], []
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    (plain if self.joins and PLAIN(w) else other).append(w)
+        for i in range(0, len(plain), JOINED):
+            some = plain[i : i + JOINED]
+            flat = np.array(self.encode([" ".join(some)])[0], np.uint32)
+            ends = np.flatnonzero(self.ends[flat]) + 1
+            if len(ends) != len(some) or ends[-1] != len(flat):
+                other += some
+                continue
+            blob = flat.tobytes()
+            for w, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
+                known[w] = blob[4 * a : 4 * b]
+        for w, ids in zip(other, self.encode(other)):
+            known[w] = array("I", ids).tobytes()
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids per text, ids of all texts)."""
         lens, codes, words = words_of(self.alike(texts), lower=False)
         words = words.to_pylist()
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for w, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[w] = array("I", e.ids).tobytes()
+        self.learn(words)
         coded = [self.known[w] for w in words]
         size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         every = np.frombuffer(b"".join(coded), np.uint32)

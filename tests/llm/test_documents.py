@@ -262,6 +262,34 @@ def test_token_ids_by_word_equal_those_of_whole_texts():
     assert [x.tolist() for x in np.split(flat, np.cumsum(sizes))[:-1]] == [model.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, model):
+        self.model, self.texts = model, []
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts += texts
+        return self.model.encode_batch_fast(texts, **how)
+
+
+def test_few_calls_of_the_tokenizer(monkeypatch):
+    """Words of letters are encoded together, marks apart, and frequent words stay known."""
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 400)
+    encoder, plain = packing.Encoder(packing.word_bpe()), packing.tokenizer(packing.word_bpe())
+    encoder.model = Counted(encoder.model)
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz\u00e9\u00df\u00d1"))
+    for _ in range(6):
+        words = ["".join(rng.choice(letters, 9)) for _ in range(300)]
+        text = " ".join(["often'7", *words, words[0] + "###", words[1] + "$*,"])
+        _, flat = encoder.ids(pa.array([text]))
+        assert flat.tolist() == plain.encode(text, add_special_tokens=False).ids
+    sent = encoder.model.texts
+    assert sent.count("often'7") == 1 and len(sent) < 60
+    assert len(encoder.known) + len(encoder.older) < 1000
+
+
 def test_packing_plan_is_near_the_bound():
     rng = np.random.default_rng(1)
     counts = {int(n): int(rng.integers(1, 500)) for n in rng.choice(np.arange(1, 257), 60, replace=False)}
