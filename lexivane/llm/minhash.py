@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.components import connected_components
 from ..session import durable
 from .common import (
-    chain, drop_tables, groups_of, hash_words, mix, partitions, query, slices, table, words_of,
+    chain, drop_tables, groups_of, hash_words, mix, partitions, query, slices, table, thrifty, words_of,
 )
 
 PERMUTATIONS = 64
@@ -36,6 +36,7 @@ FIRST_BANDS = 8
 BLOCK = 256
 SALTS = 8
 SLICE = 8192
+SLICE_BYTES = 1 << 20  # of text that a task takes apart at once
 
 _random = np.random.default_rng(7)
 MULTIPLY = _random.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,7 +85,7 @@ def signatures(docs: DataFrame, size: int, key: str = "doc_id", text: str = "tex
     """(key, n_shingles, node, bands): the node is a 128-bit hash of the set, null if empty."""
 
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             sets = shingle_sets(batch.column(1), size)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -98,13 +99,13 @@ def signatures(docs: DataFrame, size: int, key: str = "doc_id", text: str = "tex
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, n_shingles long, node binary, bands array<long>"
+        thrifty(run), f"`{key}` {kind}, n_shingles long, node binary, bands array<long>"
     )
 
 
 def _sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             sets = shingle_sets(batch.column(1), size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -112,7 +113,7 @@ def _sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
                 ["node", "shingles"],
             )
 
-    return docs.select(key, text).mapInArrow(run, "node binary, shingles binary")
+    return docs.select(key, text).mapInArrow(thrifty(run), "node binary, shingles binary")
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -183,7 +184,7 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     spark = members.sparkSession
     laid = members.join(sets, "node").repartition(partitions(spark), "bucket", "block")
-    return laid.sortWithinPartitions("bucket", "block").mapInArrow(run, "src binary, dst binary")
+    return laid.sortWithinPartitions("bucket", "block").mapInArrow(thrifty(run), "src binary, dst binary")
 
 
 def _met(rows: DataFrame, groups: DataFrame) -> DataFrame:

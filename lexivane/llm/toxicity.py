@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import durable
-from .common import query, remainder, table
+from .common import query, remainder, table, thrifty
 
 SIZES = (3, 4, 5)
 BITS = 20
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     if not n0 or not n1:
         return none
     counted = (
-        texts.mapInArrow(_counts, "f long, clean long, toxic long")
+        texts.mapInArrow(thrifty(_counts), "f long, clean long, toxic long")
         .groupBy("f").agg(F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
     )
     a, b = F.col("a") / n0, F.col("b") / n1
@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
                 ["ids", "y"],
             )
 
-    rows_in = texts.mapInArrow(present, "ids binary, y int").collect()
+    rows_in = texts.mapInArrow(thrifty(present), "ids binary, y int").collect()
     ids = [np.frombuffer(r["ids"], np.int32) for r in rows_in]
     y = np.array([r["y"] for r in rows_in], np.float64)
     row = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) for i in ids])
@@ -189,7 +189,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, score double, predicted int")
+    return docs.select(key, text).mapInArrow(thrifty(run), f"`{key}` {kind}, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
             at = batch.schema.get_field_index("text")
             yield batch.filter(pa.array([one(t) < THRESHOLD for t in batch.column(at).to_pylist()]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(thrifty(run), docs.schema)
 
 
 @query("op3_toxicity")

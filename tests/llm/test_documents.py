@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lexivane.llm import contamination, minhash, packing, pii, toxicity
+from lexivane.llm import common, contamination, minhash, packing, pii, toxicity
 from lexivane.llm.common import ORACLE, QUERIES
 from tests.oracle import compare, connect
 
@@ -162,6 +162,21 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 4, 80)
 
 
+def test_tasks_return_freed_memory(spark, monkeypatch):
+    """All tasks of near duplicates and of toxicity return it where they begin and end."""
+    calls, wrapped = [], []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert list(common.thrifty(lambda b: (x + len(calls) for x in b))(iter([1, 2]))) == [2, 3] and len(calls) == 2
+    for module in (minhash, toxicity):
+        monkeypatch.setattr(module, "thrifty", lambda run: wrapped.append(run) or run)
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, "x")], "doc_id long, text string")
+    assert [r.doc_id for r in minhash.keep_one(docs).orderBy("doc_id").collect()] == [1, 3]
+    assert len(wrapped) == 4
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    toxicity.keep_clean(docs, labels)
+    assert len(wrapped) > 4
+
+
 def test_near_duplicates_odd(odd, none):
     rows = minhash.near_duplicates(odd, 4).collect()
     assert len(rows) == len(ODD)
