@@ -39,6 +39,16 @@ def test_knn_is_exact_with_a_third_of_copies(spark, metric, budget):
     assert {(r.id, r.neighbour) for r in found.collect()} == brute(rows, 4, metric)
 
 
+def test_knn_by_cells_writes_no_row_per_visit(spark, monkeypatch):
+    """Without structure every query needs every cell; still only vectors and the best travel."""
+    monkeypatch.setattr(neighbours, "visits", None)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=12)) for i in range(700)]
+    df = frame(spark, rows)
+    found = neighbours.knn(df, df, 6, exclude_self=True, broadcast_bytes=0, chunk_rows=16)
+    assert {(r.id, r.neighbour) for r in found.collect()} == brute(rows, 6, "cosine")
+
+
 def test_knn_with_fewer_rows_than_k(spark):
     df = frame(spark, [(1, [1, 0]), (2, [0, 1]), (3, [0, 0])])
     for budget in (32 << 20, 0):
