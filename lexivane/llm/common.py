@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
 
@@ -139,6 +140,24 @@ def thrifty(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return task
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """What runs inside sends its tasks Arrow batches of about ``size`` bytes.
+
+    By default a batch has 10 000 rows, which for long texts is held several times over by the JVM and the worker.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def drop_tables(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete intermediate tables that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import durable
-from .common import give_back, query, slices, table, words_of
+from .common import give_back, query, slices, small_batches, table, words_of
 
 SEQUENCE = 4096
 GRID = 16
@@ -112,6 +112,7 @@ MARKS = ",.;:!?#$%&*"
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"  # letters that stay what they are beside any other
 PLAIN = re.compile(f"[{LETTERS}]+").fullmatch
 JOINED = 256  # plain words in one text for the tokenizer
+SLICE_BYTES = 2 << 20  # of text that a task encodes at once
 
 
 def tokenizer(path: str):
@@ -212,7 +213,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, with_ids: bool
     def run(batches):
         give_back()  # the worker may have served an earlier stage
         encoder = Encoder(path)
-        for batch in slices(batches, 2, 8 << 20):
+        for batch in slices(batches, 2, SLICE_BYTES):
             keys, rows, texts = (batch.column(i) for i in range(3))
             at, start, length, crc, total, kept = [], [], [], [], [], []
             sizes, flat = encoder.ids(texts)
@@ -264,9 +265,10 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, grid: int = GRID,
     often as they occur, other columns are ignored, an empty table gives no row.
     """
     spark = docs.sparkSession
-    cut = durable(pieces(docs, path, sequence, with_ids, key, text).withColumn(
-        "unit", F.ceil(F.col("length") / grid).cast("int")
-    ))
+    with small_batches(spark):
+        cut = durable(pieces(docs, path, sequence, with_ids, key, text).withColumn(
+            "unit", F.ceil(F.col("length") / grid).cast("int")
+        ))
     counts = {r["unit"]: r["n"] for r in cut.groupBy("unit").agg(F.count("*").alias("n")).collect()}
     slots, base, at = [], 0, Counter()
     for times, each in plan(counts, sequence // grid):  # at most two patterns a length

@@ -177,6 +177,37 @@ def test_tasks_return_freed_memory(spark, monkeypatch):
     assert len(wrapped) > 4
 
 
+def test_packing_and_redaction_take_small_slices(spark):
+    tasks = []
+
+    class Seen:
+        schema, columns = spark.range(1).selectExpr("id AS doc_id", "'' AS text").schema, ["doc_id", "text"]
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            tasks.append(run)
+            return self
+
+    pii.redact(Seen())
+    packing.pieces(Seen(), packing.word_bpe())
+    texts = pa.array(["mail a@b.org now " * 30_000] * 20)  # 10 MB
+    keys = pa.array(range(20), pa.int64())
+    wholes = [pa.record_batch([keys, texts], ["doc_id", "text"]), pa.record_batch([keys, keys, texts], ["doc_id", "row", "text"])]
+    for run, whole in zip(tasks, wholes):
+        out = list(run(iter([whole])))
+        assert len(out) >= 5 and sorted({k for b in out for k in b.column(0).to_pylist()}) == list(range(20))
+
+
+def test_packing_sends_small_batches(spark, monkeypatch):
+    name, seen, write = "spark.sql.execution.arrow.maxBytesPerBatch", [], packing.durable
+    monkeypatch.setattr(packing, "durable", lambda df: seen.append(int(spark.conf.get(name))) or write(df))
+    before = spark.conf.get(name, None)
+    packing.pack(small(spark).limit(20), packing.word_bpe()).collect()
+    assert seen == [4 << 20] and spark.conf.get(name, None) == before
+
+
 def test_near_duplicates_odd(odd, none):
     rows = minhash.near_duplicates(odd, 4).collect()
     assert len(rows) == len(ODD)
