@@ -126,6 +126,23 @@ def test_spanning_tree(spark, grown):
         root[a] = b
 
 
+def test_search_for_outsiders_writes_no_row_per_point_and_chunk(spark, monkeypatch):
+    x, rows, write = nested(np.random.default_rng(3))[:150], [], spanning.durable
+
+    def counted(df):
+        rows.append((out := write(df)).count())
+        return out
+
+    monkeypatch.setattr(spanning, "durable", counted)
+    ids = [f"p{i}" for i in range(len(x))]
+    table = frame(spark, x).selectExpr("concat('p', doc_id) AS doc_id", "embedding")
+    got = spanning.spanning_tree(table, 5, broadcast_bytes=0, chunk_rows=2).collect()
+    want = plain_tree(reachability(x, 5))
+    assert sorted(r["weight"] for r in got) == pytest.approx([w for w, _, _ in want], abs=1e-9)
+    assert {r[c] for r in got for c in "ab"} == set(ids)
+    assert max(rows) <= 5 * len(x)  # the known edges are the largest table
+
+
 @pytest.mark.parametrize("piece_edges", [100_000, 40])
 def test_clusters_of_nested_and_unequal_density(spark, grown, piece_edges):
     x, rows = grown
