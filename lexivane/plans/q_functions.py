@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import rates, text, vector
-from ..operators import coverage, delivery
+from ..operators import coverage, delivery, termcounts
 from ..sources import corpus as corpora, vectors as stores
 from .common import (
     ALPHA, BETA, CORPUS_SQL, GAMMA, LOG_SQL, STORE_SQL, TOKENS_SQL, corpus, docs,
@@ -489,8 +489,8 @@ def f14(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = texts(spark, sf_dir).select("doc_id", "lang", text.tokens("text").alias("t"))
     words = text.drop_stop_words(words, "t", stop_words(spark, sf_dir), "doc_id")
-    grams = text.add_ngrams(words, "t", "grams").select("lang", F.explode("grams").alias("term"))
-    return grams.groupBy("lang", "term").agg(F.count("*").alias("tf"))
+    parts = max(docs(spark, sf_dir).rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    return termcounts.every_count(words, "lang", terms="t", high=3, slices=termcounts.SLICES * parts)
 
 
 @query(

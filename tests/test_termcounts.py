@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from lexivane.operators import termcounts, terms
+from lexivane.plans import QUERIES
 
 
 def corpus(spark, rng, n=160):
@@ -111,3 +112,31 @@ def test_rare_terms_stay_in_their_tasks(spark):
     counts, vocab = terms.ranked_vocabulary(df, "topic", high=1, min_df=6, max_features=8)
     assert {r.f for r in vocab.collect()} == {90} and vocab.count() == 8
     assert counts.select("term").distinct().count() < 100
+
+
+@pytest.mark.parametrize("run", [1, 50, termcounts.RUN])
+@pytest.mark.parametrize("high", [1, 3])
+def test_every_count(spark, run, high):
+    rows, df = corpus(spark, random.Random(3))
+    rows += [(None, None, ["x", "y", "x y", "", "é"]), (None, None, ["x y"]), (2, "c0", [])]
+    df = spark.createDataFrame(rows, df.schema).repartition(3)
+    for groups in (["topic", "lang"], ["lang"], []):
+        want = Counter()
+        for (topic, lang, g), (n, _) in plain(rows, high).items():
+            want[(*[{"topic": topic, "lang": lang}[c] for c in groups], g)] += n
+        got = termcounts.every_count(df, *groups, slices=7, high=high, run=run)
+        assert got.columns == [*groups, "term", "tf"]
+        got = [tuple(r) for r in got.collect()]
+        assert len(got) == len(want) and {r[:-1]: r[-1] for r in got} == want
+    assert termcounts.every_count(df.filter("topic > 9"), "lang", slices=7).collect() == []
+
+
+def test_every_ngram_searches_texts_once_and_has_no_row_for_each(spark, tmp_path):
+    """f15: texts were searched for tokens several times, and every occurrence was a row."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[i % 7 :]), "en", "src1", 9) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    plan = QUERIES["f15_ngrams"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "Generate" not in plan
