@@ -7,8 +7,10 @@ query takes blocks in the order of their bounds, scores them through the block's
 (its rows, in the narrowest integer type) and stops when no bound reaches its k-th score.
 
 Each query starts in its own segment, which gives it a first k-th score. The same bounds, kept for
-whole segments, then tell which other segments it has to visit at all. Queries travel in batches
-and segments meet batches in a stream, so no task holds more than one segment and one batch.
+whole segments, then tell which other segments it has to visit at all. Queries travel in packed
+batches, some batches are a lot, and a group of segments passes by each lot that needs one of them:
+a task holds the queries of one lot with what they found, and one segment. A query is sent once for
+each group of segments, a segment once for each lot.
 """
 
 from __future__ import annotations
@@ -21,14 +23,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import durable
-from .common import partitions, query, table
+from .common import groups_of, partitions, query, small_batches, table, thrifty
 
 BLOCK = 64
 SEGMENT_ROWS = 8192
 SEGMENT_BYTES = 8 << 20
-BATCH = 4096
-LOT = 16  # batches of queries that visit a segment in one task
-EXACT = 1 << 53
+BATCH = 1024
+LOT = 16  # batches of queries that segments pass by in one task
+LOT_BYTES = 16 << 20  # of their weights in 64 bits
+ROW_BYTES = 1 << 19  # of the weights of a packed row, at least one query
+GROUP = 16  # segments that pass by in one task
+TILE = 512  # queries scored at once
+RUN = 64  # blocks scored at once, at most
+EXACT, EXACT_SINGLE = 1 << 53, 1 << 24
 
 INDEX = (
     "segment long, n long, width long, ids binary, weights binary, weight_type string, "
@@ -58,13 +65,15 @@ def _magnitude(m: np.ndarray) -> int:
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a times the transpose of b, exact: in floating point, else in as wide integers as it takes."""
+    """a times the transpose of b, exact whole numbers: in floating point, else in as wide integers as it takes."""
     width = min(a.shape[1], b.shape[1])
     a, b = a[:, :width], b[:, :width]
     most = _magnitude(a) * _magnitude(b) * max(width, 1)
     if most < EXACT:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+        kind = np.float32 if most < EXACT_SINGLE else np.float64
+        return a.astype(kind) @ b.astype(kind).T
     if most < 1 << 62:
+        a, b = a.astype(np.int64), b.astype(np.int64)
         return a @ b.T
     limits = np.iinfo(np.int64)
     return np.clip(a.astype(object) @ b.astype(object).T, limits.min, limits.max).astype(np.int64)
@@ -75,7 +84,7 @@ def bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
     width = min(q.shape[1], high.shape[1])
     q, high, low = q[:, :width], high[:, :width], low[:, :width]
     both = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1)
-    return product(both, np.concatenate([high, low], axis=1))
+    return product(both, np.concatenate([high, low], axis=1)).astype(np.int64)
 
 
 def _narrow(m: np.ndarray) -> np.ndarray:
@@ -123,126 +132,179 @@ class Segment:
     """One row of the index, ready for searching."""
 
     def __init__(self, row: dict):
-        n, width = row["n"], row["width"]
+        n, width, blocks = row["n"], row["width"], -(-row["n"] // BLOCK)
         self.ids = np.frombuffer(row["ids"], np.int64)
-        self.rows = np.frombuffer(row["weights"], row["weight_type"]).reshape(n, width).astype(np.int64)
-        self.high = np.frombuffer(row["high"], np.int64).reshape(-1, width)
-        self.low = np.frombuffer(row["low"], np.int64).reshape(-1, width)
+        self.rows = np.frombuffer(row["weights"], row["weight_type"]).reshape(n, width)
+        self.high = np.frombuffer(row["high"], np.int64).reshape(blocks, width)
+        self.low = np.frombuffer(row["low"], np.int64).reshape(blocks, width)
+        self.most, self.least = self.high.max(0, keepdims=True), self.low.min(0, keepdims=True)
         self.first = np.minimum.reduceat(self.ids, np.arange(0, n, BLOCK))
 
-    def search(self, q: np.ndarray, own: np.ndarray, k: int, score: np.ndarray, vec: np.ndarray):
-        """(query row, vec_id, score) of what can be among the k best of each query.
-
-        Only what ranks before ``score`` with id ``vec`` counts: the k-th found elsewhere.
-        """
-        bound = bounds(q, self.high, self.low)
-        order = np.argsort(~bound, axis=1, kind="stable")  # descending, without overflow
-        out_q, out_id, out_s = [], [], []
-        for i in range(len(q)):
-            ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            kth, kth_id = int(score[i]), int(vec[i])
-            line, top = order[i], bound[i][order[i]]
-            at, step = 0, 4
-            while at < len(line) and top[at] >= kth:
-                take, best = line[at : at + step], top[at : at + step]
-                take = take[(best > kth) | ((best == kth) & (self.first[take] < kth_id))]
-                at, step = at + step, 2 * step
-                rows = (take[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-                rows = rows[rows < len(self.ids)]
-                new_s, new_id = product(q[i : i + 1], self.rows[rows])[0], self.ids[rows]
-                better = ((new_s > kth) | ((new_s == kth) & (new_id < kth_id))) & (new_id != own[i])
-                scores = np.concatenate([scores, new_s[better]])
-                ids = np.concatenate([ids, new_id[better]])
-                if len(ids) >= k:
-                    best = np.lexsort([ids, ~scores])[:k]
-                    ids, scores = ids[best], scores[best]
-                    kth, kth_id = int(scores[-1]), int(ids[-1])
-            out_q.append(np.full(len(ids), i))
-            out_id.append(ids)
-            out_s.append(scores)
-        return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_s)
-
-
-NONE = np.iinfo(np.int64).min
+
+NONE, LAST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+
+
+class Search:
+    """Queries with the k best of each one among the segments that it saw.
+
+    Only what ranks before ``score`` with id ``vec`` counts: the k-th found elsewhere.
+    """
+
+    def __init__(self, q: np.ndarray, own: np.ndarray, k: int, score: np.ndarray, vec: np.ndarray):
+        self.q, self.own, self.k = q, own, k
+        self.kth, self.kth_id = score.copy(), vec.copy()
+        self.n = np.zeros(len(q), np.int64)
+        self.ids, self.scores = np.zeros((len(q), k), np.int64), np.zeros((len(q), k), np.int64)
+
+    def see(self, seg: Segment, who: np.ndarray) -> None:
+        """Compare a segment with the queries ``who``, by blocks in the order of their bounds."""
+        for i in range(0, len(who), TILE):
+            at = who[i : i + TILE]
+            at = at[bounds(self.q[at], seg.most, seg.least)[:, 0] >= self.kth[at]]
+            if not len(at):
+                continue
+            bound = bounds(self.q[at], seg.high, seg.low)
+            order = np.argsort(~bound.max(0), kind="stable")  # descending, without overflow
+            done, step = 0, 4
+            while done < len(order):
+                blocks = order[done : done + step]
+                done, step = done + step, min(2 * step, RUN)
+                b, kth = bound[:, blocks], self.kth[at][:, None]
+                need = (b > kth) | ((b == kth) & (seg.first[blocks] < self.kth_id[at][:, None]))
+                if need.any():
+                    rows = (blocks[need.any(0)][:, None] * BLOCK + np.arange(BLOCK)).ravel()
+                    self._score(at[need.any(1)], seg, rows[rows < len(seg.ids)])
+
+    def _score(self, at: np.ndarray, seg: Segment, rows: np.ndarray) -> None:
+        score = product(self.q[at], seg.rows[rows])
+        # rounding keeps the order, and all scores are exact: nothing is missed by a rounded k-th
+        row, col = np.nonzero(score >= self.kth[at].astype(score.dtype)[:, None])
+        score, ids = score[row, col].astype(np.int64), seg.ids[rows[col]]
+        kth = self.kth[at][row]
+        better = ((score > kth) | ((score == kth) & (ids < self.kth_id[at][row]))) & (ids != self.own[at][row])
+        some, row = np.unique(row[better], return_inverse=True)
+        who = at[some]
+        held = np.arange(self.k) < self.n[who][:, None]
+        row = np.concatenate([np.nonzero(held)[0], row])
+        score = np.concatenate([self.scores[who][held], score[better]])
+        ids = np.concatenate([self.ids[who][held], ids[better]])
+        order = np.lexsort([ids, ~score, row])
+        rank = np.arange(len(row)) - np.searchsorted(row[order], np.arange(len(who)))[row[order]]
+        order, rank = order[rank < self.k], rank[rank < self.k]
+        self.ids[who[row[order]], rank], self.scores[who[row[order]], rank] = ids[order], score[order]
+        self.n[who] = np.bincount(row[order], minlength=len(who))
+        full = who[self.n[who] == self.k]
+        self.kth[full], self.kth_id[full] = self.scores[full, -1], self.ids[full, -1]
+
+    def held(self) -> np.ndarray:
+        return np.arange(self.k) < self.n[:, None]
 
 
 def _at_home(batches: Iterator[pa.RecordBatch], every: int, k: int) -> Iterator[pa.RecordBatch]:
     """Each query of a segment with its k best there: (query_id, weights, ids, scores, segment)."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
             seg = Segment(row)
             mine = np.flatnonzero(seg.ids % every == 0)
             for i in range(0, len(mine), BATCH):
                 rows = mine[i : i + BATCH]
-                own, q = seg.ids[rows], seg.rows[rows]
-                floor, last = np.full(len(rows), NONE), np.full(len(rows), np.iinfo(np.int64).max)
-                at, ids, scores = seg.search(q, own, k, floor, last)
-                cuts = np.searchsorted(at, np.arange(len(rows) + 1)).astype(np.int32)
-                order = np.lexsort([ids, ~scores, at])
-                lists = lambda v: pa.ListArray.from_arrays(pa.array(cuts), pa.array(v[order]))  # noqa: E731,B023
+                own, q = seg.ids[rows], seg.rows[rows].astype(np.int64)
+                search = Search(q, own, k, np.full(len(rows), NONE), np.full(len(rows), LAST))
+                search.see(seg, np.arange(len(rows)))
+                cuts, held = pa.array(np.concatenate([[0], np.cumsum(search.n)]).astype(np.int32)), search.held()
+                lists = lambda v: pa.ListArray.from_arrays(cuts, pa.array(v[held]))  # noqa: E731,B023
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(own), pa.array(list(q), pa.list_(pa.int64())), lists(ids),
-                        lists(scores), pa.array(np.full(len(rows), row["segment"])),
+                        pa.array(own), pa.array(list(q), pa.list_(pa.int64())), lists(search.ids),
+                        lists(search.scores), pa.array(np.full(len(rows), row["segment"])),
                     ],
                     names=["query_id", "weights", "ids", "scores", "home"],
                 )
 
 
 HOME = "query_id long, weights array<long>, ids array<long>, scores array<long>, home long"
-ASKED = "segment long, lot long, width long, own binary, q binary, score binary, vec binary"
+PACKED = "batch long, lot long, asked long, q_width long, q_type string, own binary, q binary, home binary, score binary, vec binary"
+ASKED = "lot long, segment long"
 
 
-def _matrix(lists: list[list[int]]) -> np.ndarray:
-    out = np.zeros((len(lists), max((len(v) for v in lists), default=0)), np.int64)
-    for i, v in enumerate(lists):
-        out[i, : len(v)] = v
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """Rows of lists, short ones filled up with zeros."""
+    lens = np.diff(np.asarray(lists.offsets))
+    out = np.zeros((len(lens), int(lens.max()) if len(lens) else 0), np.int64)
+    out[np.arange(out.shape[1]) < lens[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
-def _asked(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """For each batch of queries and each segment that it meets: the queries that must go there."""
+def _packed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Rows of many queries each, of one batch: their ids, weights, own segments and k-th scores."""
+    for held in groups_of(batches, ["batch"]):
+        get = lambda c: held[c].combine_chunks()  # noqa: E731,B023
+        q, full = _matrix(get("weights")), np.diff(np.asarray(get("ids").offsets)) >= k
+        own, home, batch, lot = (get(c).to_numpy() for c in ("query_id", "home", "batch", "lot"))
+        score, vec = np.full(len(q), NONE), np.full(len(q), LAST)
+        # the k-th of lists that are k long
+        score[full], vec[full] = (_matrix(get(c).filter(pa.array(full)))[:, k - 1] if full.any() else [] for c in ("scores", "ids"))
+        step = max(1, min(BATCH, ROW_BYTES // (8 * max(q.shape[1], 1))))
+        for i in range(0, len(q), step):
+            small, part = _narrow(q[i : i + step]), slice(i, i + step)
+            row = [batch[0], lot[0], len(small), q.shape[1], small.dtype.str, *(
+                v.tobytes() for v in (own[part], small, home[part], score[part], vec[part])
+            )]
+            kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip(row, kinds)], names=[c.split(" ")[0] for c in PACKED.split(", ")]
+            )
+
+
+def _queries(row: dict) -> tuple[np.ndarray, ...]:
+    """(weights, ids, own segments, k-th scores, their ids) of a packed row."""
+    q = np.frombuffer(row["q"], row["q_type"]).reshape(row["asked"], row["q_width"]).astype(np.int64)
+    return q, *(np.frombuffer(row[c], np.int64) for c in ("own", "home", "score", "vec"))
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The segments that a packed row of queries must visit, among those that it meets."""
     for batch in batches:
-        for row in batch.to_pylist():
-            queries, segments = row["queries"], row["segments"]
-            q = _matrix([x["weights"] for x in queries])
-            own, home = (np.array([x[c] for x in queries], np.int64) for c in ("query_id", "home"))
-            full = np.array([len(x["ids"]) >= k for x in queries])
-            score = np.array([x["scores"][k - 1] if f else NONE for x, f in zip(queries, full)], np.int64)
-            vec = np.array([x["ids"][k - 1] if f else np.iinfo(np.int64).max for x, f in zip(queries, full)], np.int64)
-            reach = bounds(q, _matrix([s["most"] for s in segments]), _matrix([s["least"] for s in segments]))
-            out = []
-            for j, s in enumerate(segments):
-                go = np.flatnonzero((reach[:, j] >= score) & (home != s["segment"]))
-                if len(go):
-                    out.append((
-                        s["segment"], row["lot"], q.shape[1], own[go].tobytes(), q[go].tobytes(),
-                        score[go].tobytes(), vec[go].tobytes(),
-                    ))
-            for i in range(0, len(out), 8):
-                columns = list(zip(*out[i : i + 8]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(c, pa.binary()) for c in columns[3:]],
-                    names=[c.split(" ")[0] for c in ASKED.split(", ")],
-                )
+        for i in range(batch.num_rows):
+            part = batch.slice(i, 1)
+            row, segments = part.drop_columns(["segments"]).to_pylist()[0], part.column("segments").flatten()
+            q, _, home, score, _ = _queries(row)
+            ids = segments.field("segment").to_numpy()
+            reach = bounds(q, _matrix(segments.field("most")), _matrix(segments.field("least")))
+            go = ids[((reach >= score[:, None]) & (home[:, None] != ids)).any(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(go), row["lot"])), pa.array(go)], names=["lot", "segment"])
 
 
 def _visit(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Scores of a stream in which each segment is followed by the batches that visit it."""
-    held = None
+    """Scores of a stream in which the queries of a task are followed by the segments that pass by."""
+
+    def found(now: Search) -> pa.RecordBatch:
+        held = now.held()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(now.own, now.n)), pa.array(now.ids[held]), pa.array(now.scores[held])],
+            names=["query_id", "vec_id", "score"],
+        )
+
+    task, waiting, now, home = None, [], None, None
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            if row["own"] is None:
-                held = Segment(row)
+            if row["task"] != task:
+                if now is not None:
+                    yield found(now)
+                task, waiting, now = row["task"], [], None
+            if row["own"] is not None:
+                waiting.append(_queries(row))
                 continue
-            read = lambda c: np.frombuffer(row[c], np.int64)  # noqa: E731,B023
-            own = read("own")
-            q = read("q").reshape(len(own), row["width"])
-            at, ids, scores = held.search(q, own, k, read("score"), read("vec"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[at]), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"]
-            )
+            if now is None:
+                width = max(x[0].shape[1] for x in waiting)
+                q = np.concatenate([np.pad(x[0], ((0, 0), (0, width - x[0].shape[1]))) for x in waiting])
+                own, home, score, vec = (np.concatenate(c) for c in list(zip(*waiting))[1:])
+                now, waiting = Search(q, own, k, score, vec), []
+            now.see(Segment(row), np.flatnonzero(home != row["segment"]))
+    if now is not None:
+        yield found(now)
 
 
 def index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: float = 64.0) -> DataFrame:
@@ -267,6 +329,38 @@ def index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", sc
     ))
 
 
+def _away(segments: DataFrame, start: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): what can be among the k best of a query outside its own segment."""
+    n = partitions(segments.sparkSession)
+    many, width = segments.agg(F.count("*"), F.coalesce(F.max("width"), F.lit(0))).first()
+    batches = max(1, -(-start.count() // BATCH))
+    per_lot = max(1, min(LOT, LOT_BYTES // (8 * max(width, 1) * BATCH)))
+    lots = -(-batches // per_lot)
+    groups = max(1, -(-many // GROUP), min(many, -(-n // lots)))
+    batch = F.pmod(F.xxhash64("query_id"), F.lit(batches))
+    with small_batches(segments.sparkSession):
+        packed = durable(
+            start.withColumn("batch", batch).withColumn("lot", F.floor(F.col("batch") / per_lot))
+            .repartition(n, "batch").sortWithinPartitions("batch").mapInArrow(lambda b: _packed(b, k), PACKED)
+        )
+        # each batch meets the extremes of all segments, a thousand or so at a time
+        chunks = max(1, -(-many // 1024))
+        known = segments.select(
+            F.pmod(F.xxhash64("segment"), F.lit(chunks)).cast("int").alias("chunk"), "segment", "most", "least"
+        ).groupBy("chunk").agg(F.collect_list(F.struct("segment", "most", "least")).alias("segments"))
+        meeting = packed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).join(known, "chunk")
+        asked = durable(meeting.repartition(n, "batch", "chunk").drop("chunk").mapInArrow(_asked, ASKED))
+        group = F.pmod(F.xxhash64("segment"), F.lit(groups))
+        places = asked.distinct().withColumn("task", (F.col("lot") * groups + group).cast("int"))
+        passing = segments.drop("most", "least").join(places.drop("lot"), "segment")
+        waiting = packed.drop("batch").join(places.select("lot", "task").distinct(), "lot").drop("lot")
+        stream = passing.unionByName(waiting, allowMissingColumns=True).repartitionById(lots * groups, "task")
+        return durable(
+            stream.sortWithinPartitions("task", F.col("own").isNull(), "segment")
+            .mapInArrow(thrifty(lambda b: _visit(b, k)), FOUND)
+        )
+
+
 def top_k(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id",
           vector: str = "embedding", scale: float = 64.0) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products of each query, exact.
@@ -284,28 +378,7 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id",
         segments.mapInArrow(lambda b: _at_home(b, every, k), HOME)
         .withColumn("copy", F.row_number().over(one)).filter("copy = 1").drop("copy")
     )
-    # batches by hash; each meets the extremes of all segments, a thousand or so at a time
-    batches = max(1, -(-start.count() // BATCH))
-    chunks = max(1, -(-segments.count() // 1024))
-    asking = start.withColumn("batch", F.pmod(F.xxhash64("query_id"), F.lit(batches))).groupBy("batch").agg(
-        F.collect_list(F.struct("query_id", "weights", "ids", "scores", "home")).alias("queries")
-    ).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    known = segments.select(
-        F.pmod(F.xxhash64("segment"), F.lit(chunks)).cast("int").alias("chunk"), "segment", "most", "least"
-    ).groupBy("chunk").agg(F.collect_list(F.struct("segment", "most", "least")).alias("segments"))
-    asked = durable(
-        asking.join(known, "chunk")
-        .repartition(partitions(vectors.sparkSession), "batch", "chunk")
-        .select(F.floor(F.col("batch") / LOT).alias("lot"), "queries", "segments")
-        .mapInArrow(lambda b: _asked(b, k), ASKED)
-    )
-    places = asked.select("segment", "lot").distinct()
-    both = segments.drop("most", "least").join(places, "segment").unionByName(asked, allowMissingColumns=True)
-    wide = ["segment", "lot", "n", "width", "ids", "weights", "weight_type", "high", "low", "own", "q", "score", "vec"]
-    stream = both.select(*wide).repartition(partitions(vectors.sparkSession), "segment", "lot")
-    away = stream.sortWithinPartitions("segment", "lot", F.col("own").isNotNull()).mapInArrow(
-        lambda b: _visit(b, k), FOUND
-    )
+    away = _away(segments, start, k)
     home = start.select("query_id", F.inline(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return home.unionByName(away).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(

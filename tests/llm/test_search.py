@@ -262,3 +262,16 @@ def test_top_k_of_little(spark):
     check_top(spark, [])
     check_top(spark, [(20, [1.0])])
     check_top(spark, [(20, [1.0]), (40, [2.0]), (41, [-1.0])])
+
+
+def test_top_k_writes_each_query_once(spark, monkeypatch):
+    kept, write = [], topk.durable
+    monkeypatch.setattr(topk, "durable", lambda df: kept.append(write(df)) or kept[-1])
+    rng = np.random.default_rng(8)
+    check_top(spark, [(i, rng.normal(size=8).tolist()) for i in range(900)])
+    sent = [f.agg(F.sum(F.length("q"))).first()[0] for f in kept if "q" in f.columns]
+    assert sum(sent) <= 45 * 8 * 8  # not once for each segment that it visits
+
+
+def test_top_k_of_empty_vectors(spark):
+    check_top(spark, [(20, []), (21, []), (40, [])])
