@@ -7,6 +7,7 @@ from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -19,6 +20,7 @@ from .density import NOISE, centre_clusters, density_clusters
 from .embed import word_vectors
 from .neighbours import BROADCAST_BYTES, Metric, clean, fits, knn
 from .reduce import fit_projection, project
+from .termcounts import _cut
 from .terms import (
     MAX_FEATURES, MIN_DF, SEED_BOOST, TOP_WORDS, class_weights, ranked_vocabulary,
     term_arrays, top_terms,
@@ -28,6 +30,8 @@ from .topics import centroids, topic_frequency
 ZERO_SHOT_SIMILARITY = 0.3
 MIN_PROBABILITY = 0.015
 BLOCK_ROWS = 4096
+TOPICS = 16  # compared with windows at once
+WINDOW_TOKENS = 1 << 16  # at once
 
 
 # --- assignment to known topics ------------------------------------------------------
@@ -320,26 +324,108 @@ def word_space(docs: DataFrame, assignment: DataFrame, dimensions: int = 32, min
 
 def window_distribution(
     docs: DataFrame, weights: DataFrame, window: int = 4, min_similarity: float = 0.1,
-    tokenizer=tokens,
+    tokenizer=tokens, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Topic shares from token windows: (doc level, token level).
 
     Each run of ``window`` tokens (stride one; a shorter text is one window) is compared
     with every topic's term scores by cosine, tokens counted one by one. Similarities from
     the minimum up are spread over the tokens of the window and summed by token and by
-    document; document rows add up to one. Everything stays partitioned by document.
+    document; document rows add up to one. Documents are worked on where they are, against the
+    weights as one table that every task gets; no token is a row of a join. Only documents that share
+    their key, whose windows are added up, and weights beyond the budget take joins (``_window_rows``).
     """
     lengths = weights.groupBy("topic").agg(F.sqrt(F.sum(F.col("score") ** 2)).alias("__len"))
     scored = weights.select("topic", "term", "score", "idf").join(lengths, "topic")
     scored = scored.select(
         "topic", "term", "idf", (F.col("score") * F.col("idf") / F.col("__len")).alias("part")
     )
+    words = docs.filter("doc_id IS NOT NULL").select(tokenizer("text").alias("__t"), "doc_id")
+    most = broadcast_bytes // 64
+    if scored.limit(most + 1).count() > most:
+        by_token = _window_rows(words, scored, window, min_similarity)
+        by_doc = by_token.groupBy("doc_id", "topic").agg(F.sum("score").alias("score"))
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(scored.toArrow())
+        repeated = durable(words.groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+        some = not repeated.isEmpty()
+        single = words.join(repeated, "doc_id", "left_anti").select("__t", "doc_id") if some else words
+        key, topic = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (weights, "topic")))
+        run = lambda whole: lambda b: _windows(b, shared.value, window, min_similarity, whole)
+        by_token = single.mapInArrow(run(False), f"doc_id {key}, pos int, topic {topic}, score double")
+        by_doc = single.mapInArrow(run(True), f"doc_id {key}, topic {topic}, score double")
+        if some:
+            rest = _window_rows(words.join(repeated, "doc_id", "left_semi"), scored, window, min_similarity)
+            by_token = by_token.unionByName(rest)
+            by_doc = by_doc.unionByName(rest.groupBy("doc_id", "topic").agg(F.sum("score").alias("score")))
+    total = F.sum("score").over(Window.partitionBy("doc_id"))
+    shares = by_doc.withColumn("probability", F.col("score") / total).drop("score")
+    return shares, by_token
+
+
+def _ahead(x: np.ndarray, left: np.ndarray, window: int) -> np.ndarray:
+    """Sums over each token and those behind it in its text, ``window`` in all; ``left`` are to its end."""
+    out = x.copy()
+    for j in range(1, min(window, len(x))):
+        out[:-j] += np.where(left[:-j] > j, x[j:].T, 0).T
+    return out
+
+
+def _windows(
+    batches: Iterator[pa.RecordBatch], scored: pa.Table, window: int, min_similarity: float, whole: bool
+) -> Iterator[pa.RecordBatch]:
+    """(doc_id, pos, topic, score) of (tokens, doc_id), or (doc_id, topic, score) if ``whole``."""
+    get = lambda c: scored[c].combine_chunks().dictionary_encode()
+    terms, topics = get("term"), get("topic")
+    term, topic = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (terms, topics))
+    place, none = {w: i for i, w in enumerate(terms.dictionary.to_pylist())}, len(terms.dictionary)
+    part, square = scored["part"].to_numpy(), np.full(none + 1, -np.inf)
+    np.maximum.at(square, term, scored["idf"].to_numpy())
+    square[none] = 0  # of tokens that no topic knows
+    square *= square
+    slices = []
+    for i in range(0, len(topics.dictionary), TOPICS):
+        held = (topic >= i) & (topic < i + TOPICS)
+        slices.append((i, min(TOPICS, len(topics.dictionary) - i), term[held], topic[held] - i, part[held]))
+    for batch in _cut(batches, WINDOW_TOKENS):
+        flat = batch.column(0).cast(pa.large_list(pa.string())).flatten().dictionary_encode()
+        lens = pc.fill_null(pc.list_value_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(flat):
+            continue
+        code = np.array([place.get(w, none) for w in flat.dictionary.to_pylist()])[flat.indices.to_numpy(zero_copy_only=False)]
+        row, n = np.repeat(np.arange(len(lens)), lens), np.repeat(lens, lens)
+        pos = np.arange(len(code)) - np.repeat(np.cumsum(lens) - lens, lens)
+        norm = np.sqrt(_ahead(square[code], n - pos, window))
+        begins = (pos <= np.maximum(n - window, 0)) & (norm > 0)
+        for first, width, at, of, value in slices:
+            table, known = np.zeros((none + 1, width)), np.zeros((none + 1, width), np.int64)
+            np.add.at(table, (at, of), value)
+            np.add.at(known, (at, of), 1)
+            close = _ahead(table[code], n - pos, window) / np.where(begins, norm, 1)[:, None]
+            held = begins[:, None] & (np.floor(close * 1e9 + 0.5) / 1e9 >= min_similarity)
+            held &= _ahead(known[code], n - pos, window) > 0
+            # the windows that hold a token begin at it or before it: the same sums, backwards
+            back = lambda x: _ahead(x[::-1], pos[::-1] + 1, window)[::-1]  # noqa: E731,B023
+            score, hit = back(np.where(held, close, 0)), back(held.astype(np.int64)) > 0
+            if whole:
+                each = [np.bincount(row, x, len(lens)) for x in (*score.T, *hit.T)]
+                score, hit = np.stack(each[:width], 1), np.stack(each[width:], 1) > 0
+            token, column = np.nonzero(hit)
+            columns = {
+                "doc_id": batch.column(1).take(pa.array(token if whole else row[token])), "pos": pa.array(pos[token], pa.int32()),
+                "topic": topics.dictionary.take(pa.array(column + first)), "score": pa.array(score[token, column]),
+            }
+            if whole:
+                del columns["pos"]
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _window_rows(words: DataFrame, scored: DataFrame, window: int, min_similarity: float) -> DataFrame:
+    """(doc_id, pos, topic, score) as ``_windows`` gives it, by joins of tokens: texts of one key are added up."""
     per_term = scored.groupBy("term").agg(
         F.max("idf").alias("idf"), F.collect_list(F.struct("topic", "part")).alias("parts")
     )
-    words = docs.select("doc_id", tokenizer("text").alias("__t")).select(
-        "doc_id", F.size("__t").alias("n"), F.posexplode("__t").alias("pos", "term")
-    )
+    words = words.select("doc_id", F.size("__t").alias("n"), F.posexplode("__t").alias("pos", "term"))
     known = words.join(per_term, "term").repartition("doc_id")
     last = F.greatest(F.col("n") - window, F.lit(0))
     starts = F.sequence(F.greatest(F.col("pos") - window + 1, F.lit(0)), F.least("pos", last))
@@ -356,12 +442,8 @@ def window_distribution(
         .filter(F.round("similarity", 9) >= min_similarity)
     )
     end = F.least(F.col("start") + window, F.col("n")) - 1
-    by_token = (
+    return (
         close.select("doc_id", "topic", "similarity", F.explode(F.sequence("start", end)).alias("pos"))
         .groupBy("doc_id", "pos", "topic")
         .agg(F.sum("similarity").alias("score"))
     )
-    by_doc = by_token.groupBy("doc_id", "topic").agg(F.sum("score").alias("score"))
-    total = F.sum("score").over(Window.partitionBy("doc_id"))
-    shares = by_doc.withColumn("probability", F.col("score") / total).drop("score")
-    return shares, by_token

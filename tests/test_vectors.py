@@ -158,6 +158,24 @@ def test_window_distribution_rows_add_to_one(spark):
     assert by_token.filter("doc_id = 2").count() == 1
 
 
+def test_window_distribution_joins_no_tokens(spark):
+    rng = np.random.default_rng(7)
+    words = [f"word{i}" for i in range(30)]
+    docs = [(i, " ".join(rng.choice(words, rng.integers(0, 40)))) for i in range(60)]
+    docs += [(7, "word1 word2 word3 word4 word5"), (8, "word9"), (None, "word1 word2"), (70, None), (71, "")]
+    weights = [(t, w, float(rng.random()) + 0.01, float(i + 1)) for t in range(20) for i, w in enumerate(words[:25]) if rng.random() < 0.4]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    weights = spark.createDataFrame(weights, "topic bigint, term string, score double, idf double")
+    rows = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(sorted(df.columns)).collect())
+    sent = topicmodel.window_distribution(docs, weights)
+    joined = topicmodel.window_distribution(docs, weights, broadcast_bytes=0)
+    assert [rows(x) for x in sent] == [rows(x) for x in joined] and rows(sent[0])
+    single = docs.filter("doc_id NOT IN (7, 8)")
+    for frame in topicmodel.window_distribution(single, weights):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Generate" not in plan
+
+
 @pytest.mark.parametrize("metric", ["cosine", "euclidean"])
 def test_bad_vectors_change_nothing(spark, metric):
     rng = np.random.default_rng(2)
