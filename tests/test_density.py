@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from lexivane.operators import density, hierarchy, spanning
+from lexivane.operators import density, hierarchy, neighbours, spanning
 
 LEAST = 10
 
@@ -200,3 +200,34 @@ def test_topics_with_copies_and_unusable_vectors(spark):
 def test_too_few_points_are_noise(spark, n):
     df = frame(spark, np.arange(2.0 * n).reshape(n, 2))
     assert [r["topic"] for r in density.density_clusters(df, LEAST, 3).collect()] == [-1] * n
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_outsiders_within_reach(metric, monkeypatch):
+    """Pairs beyond the bounds are told by the product alone; what is found is that of all pairs."""
+    rng = np.random.default_rng(5)
+    m, n = neighbours.metric_of(metric), 600
+    x = m.prepare(rng.normal(size=(n, 6)) + 4 * np.eye(6)[rng.integers(0, 6, n)])
+    x[400:500] = x[:100]
+    comp, core, ids = rng.integers(0, 40, n), rng.random(n) * 0.02, rng.permutation(n)
+    w = np.maximum(np.maximum(m.distances(x, x), core[:, None]), core[None, :])
+    w[comp[:, None] == comp[None, :]] = np.inf
+    measured = []
+    monkeypatch.setattr(neighbours.Metric, "distances", lambda self, a, b: measured.append(len(a) * len(b)) or w[:0])
+    chord = m.chord(np.sort(w, axis=1)[:, 4])
+    seeking = spanning._Seeking.__new__(spanning._Seeking)
+    seeking.metric = m
+    least, who = seeking._nearest(x, x, chord, comp, comp, core, core, ids)
+    by_id = np.argsort(ids)
+    first = by_id[w[:, by_id].argmin(1)]
+    assert not measured and np.allclose(least, w.min(1), atol=2e-9) and (who == ids[first]).all()
+
+
+def test_few_points_are_dealt_to_all_tasks(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(400)]
+    units = spark.createDataFrame(rows, "uid long, vec array<double>")
+    m = neighbours.metric_of("euclidean")
+    cells = neighbours.build_cells(units, m, 1, 32)
+    blocks, n = neighbours._in_blocks(cells.base.select("uid", "vec", "cell"), cells, m, 10_000, 4, 32)
+    assert n == 4 and blocks.select("block").distinct().count() == 4
